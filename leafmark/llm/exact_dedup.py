@@ -23,7 +23,12 @@ from . import scratch
 _RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 _ARRIVAL = "digest binary, doc_id long, file string, row long"
 _GROUP = "digest binary, keep struct<doc_id:long,file:string,row:long>, size long, batch long"
-_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Many small stores: no space is allocated ahead of need, and a batch uploads its changes instead of whole snapshots.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -53,9 +58,10 @@ class StreamingExactDedup:
         digest = _digest(normalised(F.col(text_col)), self.bits)
         docs.select(digest.alias("digest"), F.col(id_col).cast("long").alias("doc_id"), file.cast("string").alias("file"), row.cast("long").alias("row")).write.mode("append").parquet(f"{self.root}/arrivals")
 
-        before = {k: self.spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.metricsEnabled")}
-        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STORE)
+        before = {k: self.spark.conf.get(k, None) for k in _STORE}
         try:
+            for k, v in _STORE.items():
+                self.spark.conf.set(k, v)
             arrivals = self.spark.readStream.schema(_ARRIVAL).parquet(f"{self.root}/arrivals")
             keyed = arrivals.groupBy("digest").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "file", "row")).alias("keep"), F.count("*").alias("size"))
             query = keyed.writeStream.outputMode("update").option("checkpointLocation", f"{self.root}/state").trigger(availableNow=True).foreachBatch(self._append()).start()
