@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, quality_classifier, sentencepiece_codec
+from . import exact_dedup, fertility_rules, html_extraction, license_scan, line_dedup, mixing, near_dedup, quality_classifier, sentencepiece_codec, sharding
 
 #: Wanted shares of the mixture's tokens.
 MIX = {"clean": 0.97, "junk": 0.02, "toxic": 0.01}
@@ -29,6 +29,18 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scores(docs, model).withColumn("held_out", quality_classifier.held_out(F.col("doc_id")))
 
 
+def op2_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility_rules.rules(read(spark, sf_dir, "documents"), sentencepiece_codec.read_model(spark, tokenizer_path()))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(read(spark, sf_dir, "pages"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read(spark, sf_dir, "documents"), shards=8)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     proto = sentencepiece_codec.read_model(spark, tokenizer_path())
     return sentencepiece_codec.digested(read(spark, sf_dir, "documents"), proto)
@@ -38,6 +50,14 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.fuzzy_lines(read(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), MIX)
 
@@ -52,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_license_scan": license_scan.oracle(),
         "op10_exact_dedup": r"""
             WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents)
             SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
