@@ -1,3 +1,5 @@
 """Modules that register queries; each has queries() and oracle_sql()."""
 
-MODULES: list = []
+from .plans import citation_queries
+
+MODULES = [citation_queries]
