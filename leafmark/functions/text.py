@@ -190,12 +190,23 @@ def plain_html(c: Column) -> Column:
     return F.replace(F.replace(F.replace(out, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda's variable is bound, an expression in a lambda is run each time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def repeats(c: Column, window: int = 6, times: int = 3) -> Column:
     """Whether some run of ``window`` words, lower-cased, occurs ``times`` times or more."""
     w = F.filter(F.split(F.lower(c), r"\s+"), lambda x: x != "")
-    grams = F.when(F.size(w) >= window, F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - window + 1), lambda i: F.array_join(F.slice(w, i, window), " "))))
-    # sorted: equal neighbours `times` - 1 apart
-    return F.coalesce(F.exists(F.sequence(F.lit(1), F.greatest(F.size(grams) - times + 1, F.lit(1))), lambda i: (F.size(grams) >= times) & (F.get(grams, i - 1) == F.get(grams, i + times - 2))), F.lit(False))
+
+    def grams(words: Column) -> Column:
+        return F.array_sort(F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)), lambda i: F.array_join(F.slice(words, i, window), " ")))
+
+    def again(g: Column) -> Column:  # sorted: equal grams lie side by side
+        return F.exists(F.sequence(F.lit(0), F.size(g) - times), lambda i: F.get(g, i) == F.get(g, i + times - 1))
+
+    found = let(w, lambda words: F.when(F.size(words) >= window + times - 1, let(grams(words), again)))
+    return F.coalesce(found, F.lit(False))
 
 
 def translation_fault(src: Column, out: Column, source_script: str = "[਀-੿]") -> Column:
@@ -212,12 +223,11 @@ def translation_fault(src: Column, out: Column, source_script: str = "[਀-੿]"
 
 def levenshtein_items(a: Column, b: Column) -> Column:
     """Edit distance of two arrays of strings: each distinct item becomes one private-use character, then Spark's levenshtein."""
-    book = F.array_distinct(F.concat(a, b))
 
-    def coded(x: Column) -> Column:
-        return F.array_join(F.transform(x, lambda i: F.decode(F.unhex(F.lpad(F.hex((F.array_position(book, i) + F.lit(0xE000 - 1)).cast("long")), 4, "0")), "UTF-16BE")), "")
+    def coded(x: Column, book: Column) -> Column:
+        return F.array_join(F.transform(x, lambda i: F.decode(F.unhex(F.hex(F.array_position(book, i) + F.lit(0xE000 - 1))), "UTF-16BE")), "")
 
-    return F.levenshtein(coded(a), coded(b))
+    return let(F.array_distinct(F.concat(a, b)), lambda book: F.levenshtein(coded(a, book), coded(b, book)))
 
 
 def error_rate(ref: Column, hyp: Column) -> Column:
