@@ -69,19 +69,19 @@ def voters(engines: DataFrame, accuracy: DataFrame, pivot: str) -> DataFrame:
 
 
 def positional_vote(readings: DataFrame, key: list[str]) -> DataFrame:
-    """Readings (key, rank from 0 = pivot, items array, weight, conf) aligned one to one: key, text, agreement, n.
+    """Readings (key, rank from 0 = pivot, items array, weight, conf) aligned one to one: key, text, agreement, voters.
 
     Each column sums its voters' weights; the pivot is heavier by a hair; agreement is the share of unanimous columns, null for
     a single witness.
     """
     rows = readings.withColumn("w", F.col("weight") * F.coalesce("conf", F.lit(DEFAULT_CONF)) + F.when(F.col("rank") == 0, 1e-6).otherwise(0.0))
-    n = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    n = rows.groupBy(*key).agg(F.count("*").alias("voters"))
     cells = rows.select(*key, "rank", "w", F.posexplode("items").alias("i", "g"))
     ballots = cells.groupBy(*key, "i", "g").agg(F.sum("w").alias("w"), F.count("*").alias("votes"), F.min("rank").alias("first"))
     columns = ballots.groupBy(*key, "i").agg(F.max_by(F.struct("g", "votes"), F.struct(F.bround("w", 9), -F.col("first"))).alias("b"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "b"))), lambda x: x["b"]["g"]), "")
-    out = columns.join(n, key).groupBy(*key, "n").agg(text.alias("text"), F.count_if(F.col("b.votes") == F.col("n")).alias("same"), F.count("*").alias("columns"))
-    return out.select(*key, "text", F.when(F.col("n") > 1, F.bround(F.col("same") / F.col("columns"), 3)).alias("agreement"), "same", "columns", "n")
+    out = columns.join(n, key).groupBy(*key, "voters").agg(text.alias("text"), F.count_if(F.col("b.votes") == F.col("voters")).alias("same"), F.count("*").alias("columns"))
+    return out.select(*key, "text", F.when(F.col("voters") > 1, F.bround(F.col("same") / F.col("columns"), 3)).alias("agreement"), "same", "columns", "voters")
 
 
 def kind_of(bold: Column, matched: Column, text: Column) -> Column:

@@ -124,10 +124,10 @@ def bold_split(widths: DataFrame, page: list[str], ratio: float = 1.06, side: in
     whole = Window.partitionBy(*page)
     rows = widths.withColumn("i", F.row_number().over(order)).withColumn("total", F.count("*").over(whole))
     rows = rows.withColumn("s", F.sum("w").over(order)).withColumn("q", F.sum(F.col("w") * F.col("w")).over(order))
-    rows = rows.withColumn("S", F.sum("w").over(whole)).withColumn("Q", F.sum(F.col("w") * F.col("w")).over(whole)).withColumn("next", F.lead("w").over(order))
+    rows = rows.withColumn("all_s", F.sum("w").over(whole)).withColumn("all_q", F.sum(F.col("w") * F.col("w")).over(whole)).withColumn("next", F.lead("w").over(order))
     right = F.col("total") - F.col("i")
-    within = (F.col("q") - F.col("s") * F.col("s") / F.col("i")) + ((F.col("Q") - F.col("q")) - (F.col("S") - F.col("s")) * (F.col("S") - F.col("s")) / right)
+    within = (F.col("q") - F.col("s") * F.col("s") / F.col("i")) + ((F.col("all_q") - F.col("q")) - (F.col("all_s") - F.col("s")) * (F.col("all_s") - F.col("s")) / right)
     rows = rows.where((F.col("i") >= side) & (right >= side)).withColumn("within", F.floor(within * 1000 + 0.5).cast("long"))
-    best = rows.groupBy(*page).agg(F.min_by(F.struct("i", "s", "S", "total", "w", "next"), F.struct("within", "i")).alias("b"))
-    low, high = F.col("b.s") / F.col("b.i"), (F.col("b.S") - F.col("b.s")) / (F.col("b.total") - F.col("b.i"))
+    best = rows.groupBy(*page).agg(F.min_by(F.struct("i", "s", "all_s", "total", "w", "next"), F.struct("within", "i")).alias("b"))
+    low, high = F.col("b.s") / F.col("b.i"), (F.col("b.all_s") - F.col("b.s")) / (F.col("b.total") - F.col("b.i"))
     return best.where(high >= ratio * low).select(*page, ((F.col("b.w") + F.col("b.next")) / 2).alias("threshold"), F.col("b.i").cast("long").alias("regular"))

@@ -48,7 +48,7 @@ def read_meta(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 #: Fields of a manifest's works; each falls back to the manifest's own value, then to a default.
 _WORK = "file string, work string, part int, title string, book string, author string, language string, reader string, licence string, quote_policy string, original boolean"
-MANIFEST = T.StructType.fromDDL(f"author string, language string, reader string, licence string, quote_policy string, original boolean, works array<struct<{', '.join(f'{n}:{k}' for n, k in (x.split() for x in _WORK.split(', ')))}>>")
+MANIFEST = (f"author string, language string, reader string, licence string, quote_policy string, original boolean, works array<struct<{', '.join(f'{n}:{k}' for n, k in (x.split() for x in _WORK.split(', ')))}>>")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
