@@ -80,6 +80,9 @@ class StreamingExactDedup:
 
     def groups(self) -> DataFrame:
         """The state: digest, keep (doc_id, file, row), size.  The newest row of each digest counts."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/groups")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):  # nothing has arrived
+            return self.spark.createDataFrame([], _GROUP).select("digest", "keep", "size")
         log = self.spark.read.schema(_GROUP).parquet(f"{self.root}/groups")
         return log.groupBy("digest").agg(F.max_by(F.struct("keep", "size"), "batch").alias("g")).select("digest", "g.keep", "g.size")
 
