@@ -111,8 +111,8 @@ def kept_spans(paragraphs: DataFrame, spans: DataFrame) -> DataFrame:
     rows = paragraphs.withColumn("pos", F.row_number().over(order))
     s = rows.join(spans, "work").where(F.col("text").startswith(F.col("start"))).groupBy("work", "k", "stop").agg(F.min("pos").alias("lo"))
     e = rows.join(s, "work").where((F.col("pos") >= F.col("lo")) & F.col("text").endswith(F.col("stop"))).groupBy("work", "k", "lo").agg(F.min("pos").alias("hi"))
-    bad = spans.join(e.select("work", "k"), ["work", "k"], "left_anti").select(F.raise_error(F.concat(F.lit("span without an end: "), "start")).cast("string").alias("work"), F.lit(0).alias("lo"), F.lit(0).alias("hi"))
-    e = e.select("work", "lo", "hi").unionByName(bad)
+    fault = F.raise_error(F.concat(F.lit("span without an end: "), "start")).cast("int")
+    e = spans.join(e, ["work", "k"], "left").select("work", F.when(F.col("hi").isNull(), fault).otherwise(F.col("lo")).alias("lo"), F.coalesce("hi", fault).alias("hi"))
     return rows.join(e, "work").where("pos BETWEEN lo AND hi").drop("pos", "lo", "hi")
 
 
