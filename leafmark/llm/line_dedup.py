@@ -1,10 +1,11 @@
 """Fuzzy line dedup: character-shingle MinHash, high-recall banding, exact Jaccard, distributed union-find.
 
 1. One Python pass cuts whole texts into lines and gives each its digest and, once a task, its text.
-   Shingles are windows of 8 bytes that start at each character; one-permutation signatures of 64 bins give 14 bands of 4:
-   a pair at 0.80 is missed with probability 7e-4, at 0.85 with 3e-5, at 0.90 with 3e-7.
-2. Only (band key, line) is shuffled, once; buckets are read in order: each further line of a bucket becomes a candidate with
-   the bucket's centre and with its neighbour in the order of a hash of that band, so n lines cost under 2n pairs.
+   Shingles are windows of 8 bytes that start at each character; one-permutation signatures of 64 bins give 16 bands of 4:
+   a pair at 0.80 is missed with probability 2e-4, at 0.85 with 7e-6, at 0.90 with 4e-8.
+2. Equal lines have one id, so they never pair.  Only (band key, id) is shuffled, once, and sorted by key; each further line
+   of a bucket becomes a candidate with the bucket's centre and with its neighbour, in the order of a hash of that band, so n
+   lines cost under 2n pairs.
 3. Candidates are confirmed by the Jaccard similarity of their full shingle sets; confirmed links go to union-find.
 4. Of each component the line that comes first (doc_id, line_no) is kept.
 """
@@ -23,7 +24,7 @@ from . import bytetext as B
 from . import graph, scratch
 from .near_dedup import band_keys
 
-SHINGLE, BINS, BANDS, ROWS = 8, 64, 14, 4
+SHINGLE, BINS, BANDS, ROWS = 8, 64, 16, 4
 #: Digests that a task remembers.
 _SEEN = 500_000
 _EMPTY = np.uint64(2**64 - 1)
@@ -91,9 +92,7 @@ def line_signatures(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of lines; a task sends the text of a line once (its memory of digests is bounded), so copies cost 16 bytes."""
-    from pyspark import TaskContext
-
-    row, seen = TaskContext.get().partitionId() << 40, set()
+    seen: set[bytes] = set()
     for batch in batches:
         for lo, _hi, buf, offsets in B.chunks(batch.column(1)):
             low = B.LOWER[buf]
@@ -108,8 +107,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seen) > _SEEN:
                 seen.clear()
             docs = batch.column(0).slice(lo, len(offsets) - 1).take(pa.array(d))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), pa.array(ids, pa.binary()), docs, pa.array(number), pa.array(texts, pa.binary())], ["row", "digest", "doc_id", "line_no", "line"])
-            row += len(ids)
+            short = np.frombuffer(b"".join(ids), np.int64)[::2]
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(ids, pa.binary()), docs, pa.array(number), pa.array(texts, pa.binary())], ["id", "digest", "doc_id", "line_no", "line"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,24 +120,50 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, rank): pairs of each row with the bucket's first row and with the row before."""
-    key = centre = before = None
+    """Rows sorted by key: pairs of each row of a bucket with its centre, the row of the lowest rank, and with the next by rank.
+
+    Ranks are hashes of id and key, so each band has its own centre and order.  A bucket that goes on in the next batch keeps
+    its centre so far; if a later row ranks lower, both are paired and the later one takes over.
+    """
+    key = centre = low = None
     for batch in batches:
         keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(keys):
             continue
-        change = np.ones(len(keys), bool)
-        change[1:] = keys[1:] != keys[:-1]
-        change[0] = key is None or keys[0] != key
-        begin = np.maximum.accumulate(np.where(change, np.arange(len(keys)), -1))
-        head = np.where(begin >= 0, ids[begin], 0 if centre is None else centre)
-        last = np.concatenate([[ids[0] if before is None else before], ids[:-1]])
-        again = ~change
-        x = np.concatenate([ids[again], ids[again]])
-        y = np.concatenate([head[again], last[again]])
-        good = x != y
-        key, centre, before = keys[-1], head[-1], ids[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[good]), pa.array(np.maximum(x, y)[good])], ["a", "b"])
+        same = keys[1:] == keys[:-1]
+        several = np.zeros(len(keys), bool)
+        several[1:] |= same
+        several[:-1] |= same
+        if key is not None and keys[0] == key:
+            several[0] = True
+        at = np.flatnonzero(several)
+        last_key, last_id = keys[-1], ids[-1]
+        if len(at):
+            k, x = keys[at], ids[at]
+            rank = B.mix(x.view(B.U) ^ k.view(B.U), 31)
+            order = np.lexsort((rank, k))
+            # sorted keys stay in their places: lexsort only orders rows inside a bucket
+            x, rank = x[order], rank[order]
+            new = np.ones(len(k), bool)
+            new[1:] = k[1:] != k[:-1]
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
+            head, before = x[begin], np.concatenate([x[:1], x[:-1]])
+            a, b = [x[~new], x[~new]], [head[~new], before[~new]]
+            tail = int(begin[-1])
+            if key is not None and k[0] == key:  # the open bucket goes on
+                a.append(x[:1])
+                b.append(np.array([centre]))
+            if k[-1] == last_key:
+                best, least = x[tail], rank[tail]
+                if tail == 0 and key is not None and k[0] == key and low <= least:
+                    best, least = centre, low
+                centre, low = best, least
+            left, right = np.concatenate(a), np.concatenate(b)
+            good = left != right
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)[good]), pa.array(np.maximum(left, right)[good])], ["a", "b"])
+        if not len(at) or keys[at[-1]] != last_key:
+            centre, low = last_id, B.mix(np.array([last_id]).view(B.U) ^ np.array([last_key]).view(B.U), 31)[0]
+        key = last_key
 
 
 def _confirm(percent: int):
@@ -166,25 +191,36 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    path, schema = scratch.new_dir(spark, "lines"), "row long, digest binary, doc_id long, line_no long, line binary"
+    path, schema = scratch.new_dir(spark, "lines"), "id long, digest binary, doc_id long, line_no long, line binary"
     rows.mapInArrow(_lines, schema).write.option("compression", "zstd").parquet(path)
-    lines = spark.read.schema(schema).parquet(path)
-    first = lines.where(f"line is not null AND length(line) >= {SHINGLE}").select("row", "line")
-    keyed = first.mapInArrow(_keys, "key long, id long").repartition(F.col("key")).sortWithinPartitions("key", F.xxhash64("id", "key"))
+    lines = _distinct_ids(spark.read.schema(schema).parquet(path))
+    first = lines.where(f"line is not null AND length(line) >= {SHINGLE}").select("id", "line")
+    keyed = first.select("id", "line").mapInArrow(_keys, "key long, id long").repartition(F.col("key")).sortWithinPartitions("key")
     pairs = scratch.written(keyed.mapInArrow(_stars, "a long, b long").distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    texts = scratch.written(first.join(needed, "row", "left_semi"), "texts")
-    x = texts.select(F.col("row").alias("a"), F.col("line").alias("x"))
-    y = texts.select(F.col("row").alias("b"), F.col("line").alias("y"))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = scratch.written(first.join(needed, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    x = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
+    y = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     links = scratch.written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), "links")
     roots = graph.components(links)
-    # equal lines share every bucket, so all their rows with a text have one root
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "line_no")
-    rooted = lines.select("row", "digest", place.alias("place")).join(roots.withColumnRenamed("node", "row"), "row", "left")
-    nodes = rooted.groupBy("digest").agg(F.min(F.coalesce("root", "row")).alias("any"), F.min("root").alias("root"), F.min("place").alias("first"), F.count("*").alias("n"))
-    nodes = scratch.written(nodes.select("digest", F.coalesce("root", "any").alias("root"), "first", "n"), "nodes")
+    nodes = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    nodes = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    nodes = scratch.written(nodes, "nodes")
     whole = nodes.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n_lines")).where("n_lines > 1")
-    of = nodes.select("digest", "root").join(whole, "root").select("digest", "keep", "n_lines")
-    out = lines.select("digest", "doc_id", "line_no").join(of, "digest", "left")
+    of = nodes.select("id", "root").join(whole, "root").select("id", "keep", "n_lines")
+    out = lines.select("id", "doc_id", "line_no").join(of, "id", "left")
     keep = F.coalesce("keep", place)
     return out.select("doc_id", "line_no", F.coalesce("n_lines", F.lit(1)).cast("long").alias("n_lines"), F.nullif(keep["doc_id"], F.lit(2**63 - 1)).alias("keep_doc"), keep["line_no"].alias("keep_line"), (place == keep).alias("kept"))
+
+
+def _distinct_ids(lines: DataFrame) -> DataFrame:
+    """Ids are 64 bits of the 128-bit digests; lines that differ but share an id get other ids, until none do."""
+    for salt in range(1, 9):
+        clash = lines.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("id")
+        clash = scratch.written(clash, "clash")
+        if clash.isEmpty():
+            return lines
+        again = lines.join(clash.withColumn("clash", F.lit(True)), "id", "left")
+        lines = again.withColumn("id", F.when(F.col("clash"), F.xxhash64("digest", F.lit(salt))).otherwise(F.col("id"))).drop("clash")
+    raise RuntimeError("ids of lines still clash")

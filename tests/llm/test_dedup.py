@@ -135,3 +135,27 @@ def test_lines_match_brute_force(spark):
     assert {(r.doc_id, r.line_no): (r.keep_doc, r.keep_line, r.n_lines) for r in got} == {at: (*best[root[names[x]]], size[root[names[x]]]) for at, x in lines.items()}
     assert sum(r.kept for r in got) == len(best)
     assert line_dedup.fuzzy_lines(table(spark, [])).collect() == []
+
+
+def test_stars_connect_buckets_across_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 40, 300))
+    ids = rng.permutation(300).astype(np.int64)
+    for size in (1, 2, 7, 300):
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + size]), pa.array(ids[i : i + size])], ["key", "id"]) for i in range(0, 300, size)]
+        pairs = [(a, b) for out in line_dedup._stars(iter(batches)) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+        key = dict(zip(ids.tolist(), keys.tolist(), strict=True))
+        assert all(key[a] == key[b] for a, b in pairs) and len(pairs) <= 2 * 300 + len(batches)
+        root = {i: i for i in key}
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[find(a)] = find(b)
+        assert len({find(i) for i in key}) == len(set(keys.tolist()))
