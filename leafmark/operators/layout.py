@@ -108,10 +108,9 @@ def joined_paragraphs(lines: DataFrame, page: list[str]) -> DataFrame:
 def recurring_lines(paragraphs: DataFrame, share: float, least: int = 2) -> DataFrame:
     """line, pages: lines on max(least, share of all pages) pages or more."""
     rows = paragraphs.select("page", F.trim("text").alias("line"))
-    pages = rows.agg(F.countDistinct("page").alias("total"))
+    total = rows.agg(F.countDistinct("page").alias("total")).scalar()
     counts = rows.groupBy("line").agg(F.countDistinct("page").alias("pages"))
-    # one row: the number of pages
-    return counts.join(F.broadcast(pages)).where(F.col("pages") >= F.greatest(F.lit(least), F.floor(F.col("total") * F.lit(round(share * 1000)) / 1000))).select("line", "pages")
+    return counts.where(F.col("pages") >= F.greatest(F.lit(least), F.floor(total * F.lit(round(share * 1000)) / 1000)))
 
 
 def without_furniture(paragraphs: DataFrame, recurring: DataFrame) -> DataFrame:

@@ -99,6 +99,5 @@ def learned_confusions(pairs: DataFrame, least: int = 2) -> DataFrame:
 
     ops = pairs.select(F.explode(edit_script("reading", "truth")).alias("op")).where("op.tag = 'replace'")
     counts = ops.groupBy(F.col("op.a").alias("a"), F.col("op.b").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    top = counts.agg(F.max("n").alias("top"))
-    # one row: the largest count
-    return counts.join(F.broadcast(top)).select("a", "b", "n", F.bround(F.greatest(F.lit(0.2), 0.6 - 0.4 * F.col("n") / F.col("top")), 3).alias("cost"))
+    top = counts.agg(F.max("n").alias("top")).scalar()
+    return counts.select("a", "b", "n", F.bround(F.greatest(F.lit(0.2), 0.6 - 0.4 * F.col("n") / top), 3).alias("cost"))

@@ -128,3 +128,17 @@ def split_to_fit(text: str, limit: int, length=lambda s: len(s.split())) -> list
         out[-1].append(piece)
         size += n
     return [" ".join(x) for x in out]
+
+
+def group_documents(lines: DataFrame, limit: int) -> DataFrame:
+    """lines: verse_group, line_id, kind, text -> verse_group, chunks: whole lines packed to ``limit`` words, the refrain first."""
+    order = F.array_sort(F.collect_list(F.struct((F.col("kind") != "rahao").alias("later"), "line_id", "text", F.size(F.split(F.trim("text"), r"\s+")).alias("n"))))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("n"))
+
+    def add(s, x):
+        full = (s["n"] > 0) & (s["n"] + x["n"] > limit)
+        joined = F.when(s["open"] == "", x["text"]).otherwise(F.concat_ws(" ", s["open"], x["text"]))
+        return F.struct(F.when(full, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]).alias("done"), F.when(full, x["text"]).otherwise(joined).alias("open"), F.when(full, x["n"]).otherwise(s["n"] + x["n"]).alias("n"))
+
+    chunks = F.aggregate("ls", start, add, lambda s: F.when(s["n"] > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]))
+    return lines.groupBy("verse_group").agg(order.alias("ls")).select("verse_group", chunks.alias("chunks"))

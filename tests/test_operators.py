@@ -430,3 +430,28 @@ def test_plan():
     with pytest.raises(ValueError, match="unknown engine"):
         pipeline.plan(works, engines=["nope"])
     assert os.sep
+
+
+def test_indic(spark):
+    from leafmark.functions import indic
+
+    p = indic.prepared(F.col("t"), "pan")
+    got = one(spark, p, t="ਸਤਿ ੧੨ ਨਾਮ me@x.org , www.a.b/12")
+    assert got.text == "सति <ID3> नाम <ID2>, <ID1>" and got.entities == ["www.a.b/12", "me@x.org", "12"]
+    back = indic.finished(indic.prepared(F.col("t"), "pan")["text"], indic.prepared(F.col("t"), "pan")["entities"], "pan")
+    assert one(spark, back, t="ਸਤਿ 12 ਨਾਮ") == "ਸਤਿ 12 ਨਾਮ"
+    assert one(spark, indic.restored(F.col("t"), F.array(F.lit("x@y.zz"))), t="a < id 1 > b") == "a x@y.zz b"
+
+
+def test_group_documents(spark):
+    rows = [(1, 1, "line", "a b c"), (1, 2, "rahao", "r s"), (1, 3, "line", "d e f")]
+    got = units.group_documents(spark.createDataFrame(rows, "verse_group long, line_id long, kind string, text string"), 5).first()
+    assert got.chunks == ["r s a b c", "d e f"]
+
+
+def test_schemas_parse(spark):
+    from leafmark import schemas
+
+    for name, ddl in vars(schemas).items():
+        if name.isupper():
+            assert spark.createDataFrame([], ddl).columns
