@@ -30,15 +30,15 @@ _SEEN = 500_000
 _EMPTY = np.uint64(2**64 - 1)
 
 
+def _raw(buf: bytes | np.ndarray) -> np.ndarray:
+    """Each 8 neighbouring bytes as one number: a view that moves by one byte."""
+    return np.ndarray((max(len(buf) - SHINGLE + 1, 0),), "<u8", buf, 0, (1,))
+
+
 def _windows(buf: np.ndarray) -> np.ndarray:
-    """Each 8 neighbouring bytes as a mixed 64-bit number."""
-    m = len(buf) - SHINGLE + 1
-    out = np.empty(max(m, 0), B.U)
-    for k in range(min(SHINGLE, max(m, 0))):
-        n = (m - k + SHINGLE - 1) // SHINGLE
-        out[k::SHINGLE] = np.frombuffer(buf, "<u8", n, k) if n else 0
+    """The same, mixed."""
     with np.errstate(over="ignore"):
-        out *= B.U(0x9E3779B97F4A7C15)
+        out = _raw(np.ascontiguousarray(buf)) * B.U(0x9E3779B97F4A7C15)
         out ^= out >> B.U(29)
         out *= B.U(0xBF58476D1CE4E5B9)
         out ^= out >> B.U(32)
@@ -47,38 +47,41 @@ def _windows(buf: np.ndarray) -> np.ndarray:
 
 def shingles(line: bytes) -> np.ndarray:
     """The distinct shingles of a normalised line, sorted; a shorter line is its own only shingle."""
-    buf = np.frombuffer(line, np.uint8)
-    if len(buf) < SHINGLE:
+    if len(line) < SHINGLE:
         return np.frombuffer(hashlib.blake2b(line, digest_size=8).digest(), B.U)
-    starts = (buf[: len(buf) - SHINGLE + 1] & 0xC0) != 0x80
-    return np.unique(_windows(buf)[starts])
+    own = _raw(line)
+    if not line.isascii():
+        own = own[(np.frombuffer(line, np.uint8, len(own)) & 0xC0) != 0x80]
+    own = np.sort(own)
+    new = np.empty(len(own), bool)
+    new[0] = True
+    np.not_equal(own[1:], own[:-1], out=new[1:])
+    return own[new]
+
+
+_FOLD = bytes(B.LOWER)
+_OUTER = b" \t\n\x0b\x0c\r"
 
 
-def line_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends (white space outside is trimmed), documents and numbers from 0 of the lines that have a word."""
-    s, e, d = B.spans(buf != 10, offsets)
-    ws, we, _ = B.words(buf, offsets)
-    first, last = np.searchsorted(ws, s), np.searchsorted(ws, e) - 1
-    good = last >= first
-    breaks = np.concatenate([[0], np.cumsum(buf == 10)])
-    number = breaks[s] - breaks[offsets[d]]
-    return ws[first[good]], we[last[good]], d[good], number[good]
+def lines_of(text: bytes) -> list[tuple[int, bytes]]:
+    """(number from 0, line) of the lines that have a word: A-Z lower-cased, white space outside trimmed."""
+    return [(n, line) for n, raw in enumerate(text.translate(_FOLD).split(b"\n")) if (line := raw.strip(_OUTER))]
 
 
-def line_signatures(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    sig = np.full((len(s), BINS), _EMPTY, B.U)
-    if len(s) == 0 or len(buf) < SHINGLE:
+def line_signatures(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One-permutation signatures of neighbouring lines, empty bins filled by optimal densification."""
+    lines = len(offsets) - 1
+    sig = np.full((lines, BINS), _EMPTY, B.U)
+    if lines == 0 or len(buf) < SHINGLE:
         return sig
     h = _windows(buf)
-    at = np.flatnonzero((buf[: len(h)] & 0xC0) != 0x80)
-    step = np.zeros(len(buf), np.int32)
-    step[s] = 1
-    owner = np.cumsum(step, dtype=np.int32)[at] - 1
-    inside = owner >= 0
-    inside[inside] = at[inside] + SHINGLE <= e[owner[inside]]
-    at, owner = at[inside], owner[inside]
-    h = h[at]
-    np.minimum.at(sig.reshape(-1), owner * BINS + (h >> B.U(58)).astype(np.int64), h)
+    inside = (buf[: len(h)] & 0xC0) != 0x80
+    for k in range(1, SHINGLE):  # windows that would reach into the next line
+        at = offsets[1:-1] - k
+        inside[at[(at >= 0) & (at < len(h))]] = False
+    cell = np.repeat(np.arange(0, lines * BINS, BINS, dtype=np.int64), np.diff(offsets))[: len(h)]
+    cell += (h >> B.U(58)).view(np.int64)
+    np.minimum.at(sig.reshape(-1), cell[inside], h[inside])
     full = sig != _EMPTY
     row, col = np.nonzero(~full & full.any(1)[:, None])
     out, attempt = sig.copy(), 1
@@ -94,11 +97,13 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of lines; a task sends the text of a line once (its memory of digests is bounded), so copies cost 16 bytes."""
     seen: set[bytes] = set()
     for batch in batches:
-        for lo, _hi, buf, offsets in B.chunks(batch.column(1)):
-            low = B.LOWER[buf]
-            s, e, d, number = line_spans(low, offsets)
-            raw = low.tobytes()
-            own = [raw[i:j] for i, j in zip(s.tolist(), e.tolist(), strict=True)]
+        for lo, hi, buf, offsets in B.chunks(batch.column(1)):
+            raw, own, number, counts = buf.tobytes(), [], [], []
+            for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                got = lines_of(raw[i:j])
+                counts.append(len(got))
+                number += [n for n, _ in got]
+                own += [line for _, line in got]
             ids = [hashlib.blake2b(x, digest_size=16).digest() for x in own]
             texts: list[bytes | None] = []
             for x, line in zip(ids, own, strict=True):
@@ -106,15 +111,15 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(x)
             if len(seen) > _SEEN:
                 seen.clear()
-            docs = batch.column(0).slice(lo, len(offsets) - 1).take(pa.array(d))
+            docs = batch.column(0).slice(lo, hi - lo).take(pa.array(np.repeat(np.arange(hi - lo), counts)))
             short = np.frombuffer(b"".join(ids), np.int64)[::2]
-            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(ids, pa.binary()), docs, pa.array(number), pa.array(texts, pa.binary())], ["id", "digest", "doc_id", "line_no", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(ids, pa.binary()), docs, pa.array(number, pa.int64()), pa.array(texts, pa.binary())], ["id", "digest", "doc_id", "line_no", "line"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, buf, offsets in B.chunks(batch.column(1).cast(pa.string(), safe=False)):
-            keys = band_keys(line_signatures(buf, offsets[:-1], offsets[1:]), BANDS, ROWS)
+            keys = band_keys(line_signatures(buf, offsets), BANDS, ROWS)
             rows = batch.column(0).slice(lo, hi - lo).to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(rows, BANDS))], ["key", "id"])
 
@@ -170,12 +175,16 @@ def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) // 4:
+            y, ys = None, None
+            for i, (x, line) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                if line != y:  # rows come sorted by their second line
+                    y, ys = line, shingles(line)
+                xs = shingles(x)
+                if 100 * min(len(xs), len(ys)) < percent * max(len(xs), len(ys)):
                     continue
-                both = np.concatenate([shingles(x), shingles(y)])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
+                both = np.concatenate([xs, ys])
+                both.sort()
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
                 good[i] = 100 * common >= percent * (len(both) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), batch.column(1).filter(pa.array(good))], ["a", "b"])
 
