@@ -212,14 +212,15 @@ def merged(a: Item, b: Item) -> Item:
 
 
 # -- labels ---------------------------------------------------------------------------------------------------------------
-def _around(key: str) -> bool:
+def _around(key: str, named: bool = True) -> bool:
+    """Whether an element is furniture by its tag or role, or, with ``named``, by its class or id."""
     tag, _, rest = key.partition(".")
     if tag in _AROUND:
         return True
     if not rest or tag in ("body", "html"):
         return False
     names, _, role = rest.partition("@")
-    return role in _ROLES or bool(_NAMED.search(names)) and tag not in _MAIN
+    return role in _ROLES or named and bool(_NAMED.search(names)) and tag not in _MAIN
 
 
 def labelled(wrapper: Item) -> Item:
@@ -230,16 +231,21 @@ def labelled(wrapper: Item) -> Item:
     """
     slots: list[tuple[Item, bool, int]] = []
 
-    def walk(item: Item, around: bool, inside: int) -> None:
+    def walk(item: Item, by_tag: bool, by_name: bool, inside: int, names: bool) -> None:
         for x in item.children:
             if x.key is None:
-                slots.append((x, around, inside))
+                slots.append((x, by_tag or by_name, inside))
                 continue
             tag, _, rest = x.key.partition(".")
-            named = bool(rest) and bool(_BODY.search(rest.partition("@")[0]))
-            walk(x, around or _around(x.key), max(inside, 2 if tag in _MAIN or rest.endswith("@main") or rest.endswith("@article") else 1 if named else 0))
-
-    walk(wrapper, False, 0)
+            main = tag in _MAIN or rest.endswith("@main") or rest.endswith("@article")
+            body = bool(rest) and bool(_BODY.search(rest.partition("@")[0]))
+            # what wraps a whole article may be named after what it lacks ("no-sidebar")
+            walk(x, by_tag or _around(x.key, False), False if main else by_name or names and _around(x.key), max(inside, 2 if main else 1 if body else 0), names)
+
+    walk(wrapper, False, False, 0, True)
+    if slots and all(around for _, around, _ in slots):  # names leave nothing: tags alone decide
+        slots.clear()
+        walk(wrapper, False, False, 0, False)
     mass = [sum(x.chars for x, around, k in slots if not around and k >= level) for level in (0, 1, 2)]
     level = 2 if mass[2] > 0 else 1 if mass[1] >= 0.5 * mass[0] > 0 else 0
     varied = any(x.text is None for x, around, _ in slots if not around)

@@ -79,7 +79,7 @@ PAGE = """<html><head><title>T</title><style>p{{}}</style><script>if (a < b) "</
 <div class="notice cookie-bar">We use cookies</div>{0}<aside class="sidebar">See also</aside><div id="comments"><p>nice post</p></div><form><input value=x> Search</form><footer>&copy; me</footer></body></html>"""
 
 
-@pytest.mark.parametrize("body", ["<article><h1>A &amp; B</h1>{}</article>", "<main>{}</main>", '<div class="content">{}</div>', '<div id="post-12" class="entry">{}</div>', "<div>{}</div>"])
+@pytest.mark.parametrize("body", ["<article><h1>A &amp; B</h1>{}</article>", "<main>{}</main>", '<div class="layout no-sidebar"><article>{}</article></div>', '<div class="content">{}</div>', '<div id="post-12" class="entry">{}</div>', "<div>{}</div>"])
 def test_extraction_keeps_the_article(spark, body):
     paras = [[f"First {k} text of <b>bold</b> words<br>and more &lt;{k}&gt;", f"Second\n  one {k * 7}", *(f"Extra {k} {j} with some longer text to read" for j in range(k % 3))] for k in range(8)]
     pages = [(k, f"http://host{k % 2}.example/{k}", PAGE.format(body.format("".join(f"<p>{x}" + ("</p>" if j % 2 else "") for j, x in enumerate(p))))) for k, p in enumerate(paras)]
