@@ -18,8 +18,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     """
     spark = edges.sparkSession
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    e = scratch.written(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    last = None
+    path, last = scratch.new_dir(spark, "edges"), None
+    e = scratch.written(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", path)
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -27,12 +27,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         e = large.join(small, "u")
         e = e.select("u", F.col("m").alias("v")).unionByName(e.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e = scratch.written(e.distinct(), "edges")
+        old, path = path, scratch.new_dir(spark, "edges")
+        e = scratch.written(e.distinct(), "edges", path)
+        scratch.removed(spark, old)
         now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == last:
             break
         last = now
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    del spark
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
