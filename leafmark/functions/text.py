@@ -59,17 +59,20 @@ def trimmed(c: Column) -> Column:
 
 
 def normalise(c: Column, nfc: bool = True) -> Column:
-    """The comparable form of a line; idempotent.  NFC is exact for Gurmukhi and a no-op for text that is composed already."""
-    out = F.coalesce(c, F.lit(""))
+    """The comparable form of a line; idempotent.  NFC is exact for Gurmukhi and a no-op for text that is composed already.
+
+    Rules for one script run only on texts that have it.
+    """
+    plain = F.translate(F.translate(F.coalesce(c, F.lit("")), DROPPED, ""), QUOTES_FROM, QUOTES_TO)
+    out = plain
     if nfc:
         for a, b in NFC.items():
             out = F.replace(out, F.lit(a), F.lit(b))
-    out = F.translate(F.translate(out, DROPPED, ""), QUOTES_FROM, QUOTES_TO)
     for a, b in CARRIERS.items():
         out = F.replace(out, F.lit(a), F.lit(b))
     out = F.regexp_replace(out, f"(?<![{CONSONANT}{VOWEL_SIGNS}{NUKTA}])ਿ([{CONSONANT}]{NUKTA}?)", "$1ਿ")
     out = F.regexp_replace(out, f"([{COMBINING}])\\1+", "$1")
-    return squeezed(out)
+    return squeezed(F.when(plain.rlike("[਀-੿]"), out).otherwise(plain))
 
 
 def graphemes(c: Column) -> Column:
@@ -83,9 +86,9 @@ def script_of(c: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    """Tokens of the normalised text without punctuation around them."""
-    edge = _class(PUNCTUATION)
-    return F.filter(F.transform(F.split(normalise(c), " "), lambda w: F.regexp_replace(w, f"^{edge}+|{edge}+$", "")), lambda w: w != "")
+    """Tokens of the normalised text without punctuation around them: from the first to the last character that is none."""
+    inner = "[^ " + _class(PUNCTUATION)[1:]
+    return F.regexp_extract_all(normalise(c), F.lit(f"{inner}(?:[^ ]*{inner})?"), F.lit(0))
 
 
 def footnote_marker(word: Column) -> Column:
@@ -227,7 +230,9 @@ def levenshtein_items(a: Column, b: Column) -> Column:
     def coded(x: Column, book: Column) -> Column:
         return F.array_join(F.transform(x, lambda i: F.decode(F.unhex(F.hex(F.array_position(book, i) + F.lit(0xE000 - 1))), "UTF-16BE")), "")
 
-    return let(F.array_distinct(F.concat(a, b)), lambda book: F.levenshtein(coded(a, book), coded(b, book)))
+    plain_a, plain_b = F.array_join(a, ""), F.array_join(b, "")
+    single = (F.length(plain_a) == F.size(a)) & (F.length(plain_b) == F.size(b))  # every item is one character already
+    return F.when(single, F.levenshtein(plain_a, plain_b)).otherwise(let(F.array_distinct(F.concat(a, b)), lambda book: F.levenshtein(coded(a, book), coded(b, book))))
 
 
 def error_rate(ref: Column, hyp: Column) -> Column:

@@ -147,6 +147,15 @@ def test_partial_similarity():
     assert s == 1.0 and span == (3, 8)
 
 
+def test_candidates_agree_with_and_without_a_broadcast(spark):
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choice("abcde ") for _ in range(30))
+    q = spark.createDataFrame([(i, text()) for i in range(20)], "qid long, text string").withColumn("key", matching.match_key(F.col("text")))
+    c = spark.createDataFrame([(i, text()) for i in range(50)], "line_id long, text string").withColumn("key", matching.match_key(F.col("text")))
+    one, two = ({tuple(r) for r in matching.candidates(q, c, 7, bound).select("qid", "line_id", "hits").collect()} for bound in (0, 10**6))
+    assert one == two and one
+
+
 def test_match_all(spark):
     corpus = [(1, 10, "naam ke dhare sagle jant"), (2, 10, "naam ke dhare khand brahmand"), (3, 11, "naam ke dhare sagle jaat"), (4, 12, "completely different words here")]
     c = spark.createDataFrame(corpus, "line_id long, ang long, text string").withColumn("key", matching.match_key(F.col("text")))

@@ -43,7 +43,7 @@ def test_runs(spark, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 275
+    assert entry.entry(spark).count() == 15
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
