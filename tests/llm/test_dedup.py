@@ -159,3 +159,41 @@ def test_stars_connect_buckets_across_batches():
         for a, b in pairs:
             root[find(a)] = find(b)
         assert len({find(i) for i in key}) == len(set(keys.tolist()))
+
+
+def test_lines_of_one_template_match_brute_force(spark):
+    import numpy as np
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4000)]
+    base = [rng.choice(words) for _ in range(60)]
+
+    def changed():
+        line = list(base)
+        for at in rng.sample(range(len(line)), rng.choice([3, 4])):
+            line[at] = rng.choice(words)
+        return " ".join(line)
+
+    # lines of one template, mostly 0.6 to 0.78 alike; what two linked ones share is the template's, so many others share it
+    lines = list(dict.fromkeys(changed() for _ in range(1500)))
+    sets = [line_dedup.shingles(x.encode()) for x in lines]
+    column = {s: k for k, s in enumerate(sorted({s for x in sets for s in x.tolist()}))}
+    has = np.zeros((len(lines), len(column)), np.float32)
+    for i, x in enumerate(sets):
+        has[i, [column[s] for s in x.tolist()]] = 1
+    common, n = has @ has.T, has.sum(1)
+    links = np.argwhere(np.triu(100 * common >= 80 * (n[:, None] + n[None, :] - common), 1))
+    root = list(range(len(lines)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links.tolist():
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    want = [find(i) for i in range(len(lines))]
+    assert len(links) > 500 and 300 < len(set(want)) < 1300
+    got = line_dedup.fuzzy_lines(table(spark, list(enumerate(lines)))).collect()
+    assert [r.keep_doc for r in sorted(got, key=lambda r: r.doc_id)] == want
