@@ -1,6 +1,7 @@
 """Licence recognition by sentences and ordered rules, in DataFrame functions.
 
-A text is cut into sentences, each is normalised and mapped to the identifier of a known licence sentence; the sequence of
+A text is normalised line by line and cut into sentences; a known licence sentence begins and ends where a line or a sentence
+does and may go over line ends, but not over blank lines.  Each is mapped to its identifier; the sequence of
 identifiers is matched against rules, each a licence's sentences in order, other known sentences between them allowed.
 Everything happens inside the row: no shuffle, no join, no Python.
 """
@@ -73,13 +74,19 @@ def _pattern(names: list[str]) -> str:
     return " " + r" (?:[^ ]+ )*?".join(names) + " "
 
 
-def sentences(text: Column) -> Column:
-    """Cut at line ends and after . ; : ! ? before white space; only those as long as some known sentence may be."""
-    return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.;:!?])[ \t\x0B\f\r]+", "$1\n"), "\n")
+#: Every known sentence has one of these.
+_WORDS = "licen|permission|copyright|warrant|redistribut|software|domain|rights"
 
 
-def normal(sentence: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.+-]+", " "), r"^[ .-]+|[ .-]+$", "")
+def lines(text: Column) -> Column:
+    """One normalised line for each line and for what follows . ; : ! ? before white space; marks of comments go."""
+    t = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"([.;:!?])[ \t\x0B\f\r]+\n?", "$1\n")
+    t = F.regexp_replace(t, r"[^a-z0-9.+\n-]+", " ")
+    return F.regexp_replace(t, r"(?dm)^[ .-]*+(?:(?:rem|dnl) [ .-]*+)?|(?<![ .-])[ .-]++$", "")
+
+
+def _sentence(text: str) -> str:
+    return text.replace(".", r"\.").replace("+", r"\+").replace(r"\. ", r"\.? ").replace(" ", "[ \n]")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -88,10 +95,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sentence_ids: the known sentences of the whole text in order, by spaces; licences: the rules that match, in the order of
     RULES, by '|'; both empty where there are none, and for null or empty texts.  Repeated rows each have a row.
     """
-    longest = 2 * max(map(len, KNOWN)) + 50
-    candidates = F.filter(sentences(F.col(text_col).cast("string")), lambda s: (F.length(s) >= 8) & (F.length(s) <= longest) & F.rlike(F.lower(s), F.lit("licen|permission|copyright|warrant|redistribut|free software|apache|mozilla|domain|rights")))
-    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    ids = F.filter(F.transform(candidates, lambda s: F.element_at(known, normal(s))), lambda x: x.isNotNull())
+    text = F.col(text_col).cast("string")
+    known = F.create_map(*[F.lit(x) for text, name in KNOWN.items() for x in (text.replace(". ", " "), name)])
+    any_of = "(?dm)^(?:" + "|".join(map(_sentence, sorted(KNOWN, key=len, reverse=True))) + ")$"
+    pieces = F.when(F.lower(text).rlike(_WORDS), F.regexp_extract_all(lines(text), F.lit(any_of), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    ids = F.transform(pieces, lambda s: F.element_at(known, F.regexp_replace(F.translate(s, "\n", " "), r"\. ", " ")))
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), ids.alias("ids"))
     line = F.concat(F.lit(" "), F.array_join("ids", " "), F.lit(" "))
     hits = []

@@ -183,6 +183,25 @@ def test_licences(spark, odd):
     assert license_scan.scan(odd).count() == len(ODD) and license_scan.scan(odd.limit(0)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    grant, notice = (license_scan.SENTENCES[k][0].capitalize() for k in ("mit-grant", "mit-notice"))
+    mit = f"{grant}:\n\n{notice}."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+    names = "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+
+    def wrap(text, mark="", width=72):
+        return "\n".join((mark + line).rstrip() for part in text.split("\n") for line in textwrap.wrap(part, width) or [""])
+
+    texts = {1: "MIT License\nCopyright (c) 2020 me\n\n" + wrap(mit), 2: wrap(bsd, " * "), 3: wrap(bsd + names, "# "), 4: wrap(gpl.format(";", 2), "// ").replace("\n", "\r\n"), 5: "/*\n" + wrap(gpl.format(",", 3), " * ", 40) + "\n */",
+             6: "a heading\nReleased under the\nMIT License.\nmore", 7: "This   program is free    software; " + gpl.format(",", 3)[31:].replace(" ", "  "), 8: "Released under the\n\nMIT License.", 9: "not\nreally released under the\nMIT License",
+             10: wrap(mit, "REM "), 11: "... \n" + "." * 100_000 + " licence " + "- " * 50_000}
+    got = {r.doc_id: r.licences for r in license_scan.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {1: "MIT", 2: "BSD-2-Clause", 3: "BSD-3-Clause", 4: "GPL-2.0-or-later", 5: "GPL-3.0-or-later", 6: "MIT", 7: "GPL-3.0-or-later", 8: "", 9: "", 10: "MIT", 11: ""}
+
+
 def test_licences_equal_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS FROM '{SF}/documents.parquet'")
