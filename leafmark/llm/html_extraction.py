@@ -34,6 +34,12 @@ _HIDDEN = {"script", "style", "noscript", "template", "svg", "math", "head", "ti
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "nobr", "output", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe"}
+_END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in _RAW}
+#: What a head may hold; what ends an option or button that was left open.
+_IN_HEAD = {"head", "title", "meta", "link", "base", "script", "style", "noscript", "template", "object"}
+_NEXT_OF = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])", re.I) for tag in ("option", "button")}
+_AROUND_CONTROLS = {"form", "div", "p", "section", "article", "main", "body", "html", "nav", "header", "footer", "aside", "li", "ul", "td", "fieldset"}
+_FLOW = {"article", "main", "section", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "blockquote", "pre", "form", "nav", "aside", "header", "footer"}
 #: An element that is open is ended by the start of one of these.
 _ENDED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "thead", "tfoot"}, "td": {"td", "th", "tr", "tbody", "thead", "tfoot"}, "th": {"td", "th", "tr", "tbody", "thead", "tfoot"}, "option": {"option"}}
 _AROUND = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "address"}
@@ -82,7 +88,7 @@ def parse(page: str | None) -> Item:
     stack: list[tuple[str, Item]] = [("", root)]
     parts: list[str] = []
     link_chars, in_link, hidden = 0, 0, ""
-    depth = 0
+    depth, loose = 0, False  # loose: open without an end tag of its own
 
     def flush() -> None:
         nonlocal link_chars
@@ -93,7 +99,10 @@ def parse(page: str | None) -> Item:
             parts.clear()
         link_chars = 0
 
-    for m in _TOKEN.finditer(page or ""):
+    page = page or ""
+    at = 0
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         tag = m[2]
         if tag is None:
             piece = m[0]
@@ -106,11 +115,24 @@ def parse(page: str | None) -> Item:
         tag, closing = tag.lower(), m[1] == "/"
         if not m[4]:  # the page ends inside the tag
             break
+        if hidden == "head" and not closing and tag not in _IN_HEAD or loose and (tag in _AROUND_CONTROLS if closing else tag in _FLOW):
+            hidden, loose = "", False  # its end tag was left out
+        if not closing and tag in _RAW and not m[3].endswith("/"):  # no markup inside: on to its own end tag
+            end = _END_OF[tag].search(page, at)
+            if end is None:
+                if tag != "noscript":
+                    break
+            else:
+                at = end.end()
+            continue
         if hidden:
             if tag == hidden:
-                depth += -1 if closing else 0 if hidden in _RAW else 1
-                if depth <= 0:
-                    hidden = ""
+                depth += -1 if closing else 1
+                if depth <= 0 or loose:
+                    hidden, loose, depth = ("", False, 0) if closing else (tag, loose, 1)
+                if not closing and loose:
+                    end = _NEXT_OF[tag].search(page, at)
+                    loose = end is None or not end[1]
             continue
         if tag in _VOID:
             if tag == "br":
@@ -121,6 +143,8 @@ def parse(page: str | None) -> Item:
         if tag in _HIDDEN:
             if not closing and not m[3].endswith("/"):
                 hidden, depth = tag, 1
+                end = _NEXT_OF[tag].search(page, at) if tag in _NEXT_OF else None
+                loose = tag in _NEXT_OF and (end is None or not end[1])
             continue
         if tag in _INLINE:
             if tag == "a":

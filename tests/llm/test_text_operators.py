@@ -95,6 +95,13 @@ def test_extraction_keeps_the_article(spark, body):
     assert html_extraction.extracted(frame.limit(0)).count() == 0
 
 
+def test_raw_and_unclosed_elements_end():
+    rest = "<body><article><p>one text</p><p>two</p></article></body></html>"
+    for start in ("<html><head><script>for(var i=0;i<n;i++){f(i)}</script></head>", "<html><head><style>a<b{}</STYLE ></head>", "<html><head><title>a<b</title>", "<html><head><meta charset=x>",
+                  "<html><head></head><body><script>if(i<n)g('</p>')</SCRIPT>", "<html><body><form><select><option>a<option>b</select></form>", "<html><body><div><button>go</div>", "<html><body><div><option>a</div>", "<html><body><noscript><p>on</p></noscript>", "<html><body><button><p>go</p></button>", "<html><body><div><button>go<button>on</div>", "<html><head><script src=x /></head>"):
+        assert html_extraction._text(start + rest, None) == "one text\n\ntwo", start
+
+
 def test_sharding_matches_the_walk(spark, odd):
     nodes = sharding.ring(8)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id < 501")
