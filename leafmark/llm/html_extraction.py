@@ -248,7 +248,7 @@ def _around(key: str, named: bool = True) -> bool:
 
 
 def labelled(wrapper: Item) -> Item:
-    """Sets ``main`` on every text slot: inside article or main (else a container named for content, else anywhere),
+    """Sets ``main`` on every text slot, bit k for reading at level k, and the host's level on the root: inside article or main (else a container named for content, else anywhere),
 
     outside menus, headers, footers, sidebars, notices, adverts, forms and comments.  Without a container, slots that are mostly
     links, and strings fixed over five pages or more where other slots vary, are not main text either.
@@ -274,17 +274,29 @@ def labelled(wrapper: Item) -> Item:
     level = 2 if mass[2] > 0 else 1 if mass[1] >= 0.5 * mass[0] > 0 else 0
     varied = any(x.text is None for x, around, _ in slots if not around)
     for x, around, k in slots:
-        x.main = not around and k >= level
-        if x.main and level == 0:
-            x.main = x.links <= 0.5 * x.chars and not (x.text is not None and x.pages >= 5 and varied)
+        plain = x.links <= 0.5 * x.chars and not (x.text is not None and x.pages >= 5 and varied)
+        x.main = 0 if around else sum(1 << at for at in range(k + 1) if at or plain)
+    wrapper.main = level
     return wrapper
 
 
 def read_through(page: Item, wrapper: Item) -> list[str]:
-    """The page's blocks in main slots, in order; an item the wrapper lacks has the label of its neighbours' parent."""
+    """The page's blocks in main slots, in order; an item the wrapper lacks has the label of its neighbours' parent.
+
+    A page that fills no slot of the host's level, as those of a host's other template, is read at the next lower level.
+    """
+    for level in range(int(wrapper.main), -1, -1):
+        if out := _read_at(page, wrapper, level):
+            return out
+    return []
+
+
+def _read_at(page: Item, wrapper: Item, level: int) -> list[str]:
     out: list[str] = []
+    filled = False
 
     def walk(items: list[Item], slots: list[Item], main: bool) -> None:
+        nonlocal filled
         at = 0
         for x in items:
             found = next((j for j in range(at, len(slots)) if slots[j].key == x.key), None)
@@ -294,8 +306,9 @@ def read_through(page: Item, wrapper: Item) -> list[str]:
             if slot is not None:
                 at = found
             if x.key is None:
-                if slot.main if slot is not None else main:
+                if slot.main >> level & 1 if slot is not None else main:
                     out.append(x.text)
+                    filled = filled or slot is not None
                 if slot is not None and not slot.many:
                     at = found + 1
             else:
@@ -304,7 +317,7 @@ def read_through(page: Item, wrapper: Item) -> list[str]:
                     at = found + 1
 
     walk(page.children, wrapper.children, True)
-    return out
+    return out if filled or not level else []
 
 
 # -- tables ---------------------------------------------------------------------------------------------------------------

@@ -102,6 +102,18 @@ def test_raw_and_unclosed_elements_end():
         assert html_extraction._text(start + rest, None) == "one text\n\ntwo", start
 
 
+def test_pages_of_a_host_with_several_templates():
+    page = "<html><body><nav><a href=/>Home</a></nav>{}<footer>me</footer></body></html>"
+    kinds = ["<article><p>{}</p></article>", "<div class=content><p>{}</p></div>", "<div><p>{}</p></div>"]
+    pages = [(page.format(kinds[k % 3].format(f"text {k} of a page")), f"text {k} of a page") for k in range(30)]
+    own = None
+    for html_, _ in pages:
+        tree = html_extraction.wrapper_of(html_extraction.parse(html_))
+        own = html_extraction.merged(own, tree) if own else tree
+    own = html_extraction.labelled(own)
+    assert [html_extraction._text(html_, own) for html_, _ in pages] == [want for _, want in pages]
+
+
 def test_sharding_matches_the_walk(spark, odd):
     nodes = sharding.ring(8)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id < 501")
