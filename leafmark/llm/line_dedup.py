@@ -7,9 +7,7 @@
    of a bucket becomes a candidate with the bucket's centre and with its neighbour, in the order of a hash of that band, so n
    lines cost under 2n pairs.
 3. Candidates are confirmed by the Jaccard similarity of their full shingle sets; confirmed links go to union-find.
-4. Buckets whose lines still lie in several components go on with 8 more centres, then 128, 2,048 ...: each is held against the
-   bucket's lines of other components, until the bucket has one component or each of its lines has been a centre.  Only pairs
-   become rows whose parity bitmaps leave the threshold within reach (an exact bound, checked inside the join).
+4. Buckets whose lines still lie in several components go on with further centres (see ``further``).
 5. Of each component the line that comes first (doc_id, line_no) is kept.
 """
 
@@ -24,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from . import graph, scratch
+from . import further, graph, scratch
 from .near_dedup import band_keys
 
 SHINGLE, BINS, BANDS, ROWS = 8, 64, 16, 4
@@ -177,17 +175,22 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = last_key
 
 
-def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of a line's shingles and PARITY x 64 bits: bit k tells whether an odd number of them falls to cell k."""
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of a line's shingles, PARITY x 64 bits (bit k tells whether an odd number of them falls to cell k), its keys."""
     for batch in batches:
         bits, n = np.zeros((batch.num_rows, PARITY * 64), np.uint8), np.zeros(batch.num_rows, np.int64)
         for i, line in enumerate(batch.column(1).to_pylist()):
             own = shingles(line)
             cell = B.mix(own, 23) % B.U(PARITY * 64)
             bits[i], n[i] = np.bincount(cell.astype(np.int64), minlength=PARITY * 64) & 1, len(own)
-        longs = np.packbits(bits, axis=1).view(np.int64).ravel()
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * PARITY), pa.array(longs))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), lists], ["id", "n", "bits"])
+        longs = np.packbits(bits, axis=1).view(np.int64)
+        texts = batch.column(1).cast(pa.string(), safe=False)
+        keys = np.concatenate([np.zeros((0, BANDS), np.int64), *(band_keys(line_signatures(buf, offsets), BANDS, ROWS) for _, _, buf, offsets in B.chunks(texts))])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), _lists(longs), _lists(keys)], ["id", "n", "bits", "keys"])
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
 def _confirm(percent: int):
@@ -235,11 +238,19 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
         full = candidates.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         return scratch.written(full.mapInArrow(_confirm(percent), "a long, b long"), "links")
 
-    roots = _spread(stars, pairs, texts, graph.components(confirmed(pairs)), confirmed, percent)
+    links = confirmed(pairs)
+    roots = graph.components(links)
+    scratch.dropped(links)
+    # the pairs of a star connect all lines of its bucket; a bucket of two has been compared
+    larger = stars.groupBy("key").agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).where("a0 <> a1 OR b0 <> b1").select("key")
+    ends = stars.join(larger, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = scratch.written(further.spread(ends, roots), "spread")
+    sketches = scratch.written(texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "line").mapInArrow(_sketch, "id long, n long, bits array<long>, keys array<long>"), "sketches")
+    roots = further.linked(members, sketches, roots, pairs, confirmed, percent, PARITY)
+    scratch.dropped(stars, pairs, texts, members, sketches)
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "line_no")
     nodes = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    nodes = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    nodes = scratch.written(nodes, "nodes")
+    nodes = scratch.written(further.rooted(nodes, roots), "nodes")
     whole = nodes.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n_lines")).where("n_lines > 1")
     of = nodes.select("id", "root").join(whole, "root").select("id", "keep", "n_lines")
     out = lines.select("id", "doc_id", "line_no").join(of, "id", "left")
@@ -247,57 +258,6 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     return out.select("doc_id", "line_no", F.coalesce("n_lines", F.lit(1)).cast("long").alias("n_lines"), F.nullif(keep["doc_id"], F.lit(2**63 - 1)).alias("keep_doc"), keep["line_no"].alias("keep_line"), (place == keep).alias("kept"))
 
 
-def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` after further links: only their components are joined, not all lines again."""
-    for end in ("a", "b"):
-        of = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        links = links.join(of, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-    more = graph.components(links, "a_root", "b_root")
-    top = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    old = roots.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    return scratch.written(old.unionByName(more), "roots")
-
-
-def _spread(stars: DataFrame, held: DataFrame, texts: DataFrame, roots: DataFrame, confirmed, percent: int) -> DataFrame:
-    """``roots`` (node, root) after further centres in all buckets of ``stars`` whose lines lie in several components."""
-    for end in ("a", "b"):
-        of = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        stars = stars.join(of, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-    # the pairs of a star connect all lines of its bucket; a bucket of two has been compared
-    several = stars.groupBy("key").agg(F.max(F.col("a_root") != F.col("b_root")).alias("open"), F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).where("open AND (a0 <> a1 OR b0 <> b1)").select("key")
-    members = stars.join(several, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
-    members = scratch.written(members.withColumn("rank", F.xxhash64("id", "key")), "spread")
-    inside = texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "line")
-    sets = scratch.written(inside.mapInArrow(_parity, "id long, n long, bits array<long>"), "parity")
-    # an exact bound: two sets differ in at least as many shingles as their parity bitmaps differ in bits
-    apart = " + ".join(f"bit_count(bits[{k}] ^ cbits[{k}])" for k in range(PARITY))
-    near = f"{100 + percent} * ({apart}) <= {100 - percent} * (n + m) AND 100 * least(n, m) >= {percent} * greatest(n, m)"
-    open_, turn, width = members.withColumn("upto", F.lit(-(2**63))), 1, 8
-    while True:
-        at = open_.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        several = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("rank").alias("last"), F.max("upto").alias("upto")).where("r0 <> r1 AND last > upto").select("key")
-        at = scratch.written(at.join(several, "key"), "open")
-        if at.isEmpty():
-            return roots
-        left = at.where("rank > upto")
-        # centres go in the order of rank: all up to the largest of the slots' minima are taken
-        slot = F.pmod(F.xxhash64("rank", F.lit(turn)), F.lit(width))
-        top = left.groupBy("key", slot.alias("slot")).agg(F.min("rank").alias("rank")).groupBy("key").agg(F.max("rank").alias("top"))
-        at = scratch.written(at.join(top, "key"), "turn")
-        full = at.join(sets, "id")
-        centres = full.where("rank > upto AND rank <= top").select("key", F.col("id").alias("centre"), F.col("n").alias("m"), F.col("bits").alias("cbits"), F.col("root").alias("croot"))
-        p = full.join(centres, "key").where(f"id <> centre AND root <> croot AND {near}")
-        p = p.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        p = scratch.written(p.join(held, ["a", "b"], "left_anti"), "pairs")
-        if not p.isEmpty():
-            held = scratch.written(held.unionByName(p), "held")
-            fresh = confirmed(p)
-            if not fresh.isEmpty():
-                roots = _merged(roots, fresh)
-        open_ = at.select("key", "id", "rank", F.col("top").alias("upto"))
-        turn, width = turn + 1, width * 16
-
-
 def _distinct_ids(lines: DataFrame) -> DataFrame:
     """Ids are 64 bits of the 128-bit digests; lines that differ but share an id get other ids, until none do."""
     for salt in range(1, 9):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,10 +12,14 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (tests), a local one."""
+    """The folder in ``spark.checkpoint.dir``.  Only a session in one process (tests) may leave it unset and gets a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _OWN.setdefault("root", tempfile.mkdtemp(prefix="leafmark-"))
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not os.path.isdir(_OWN.get("root", "")):
+            _OWN["root"] = tempfile.mkdtemp(prefix="leafmark-")
+        root = _OWN["root"]
     return root.rstrip("/")
 
 
@@ -27,7 +32,16 @@ def written(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = where or new_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Deletes tables that :func:`written` made, once nothing that is still to run reads them."""
+    for table in tables:
+        if path := getattr(table, "__dict__", {}).get("scratch_path"):
+            removed(table.sparkSession, path)
 
 
 def removed(spark: SparkSession, path: str) -> None:
