@@ -7,11 +7,13 @@ least squares: a step is one aggregation of a number a domain; rates stay with t
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import rows as R
 from . import scratch
 
 #: Words and runs of symbols are separate tokens.
@@ -36,6 +38,8 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
 def posteriors(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> tuple[DataFrame, list[str]]:
     """(row, doc_id, n_tokens, p array<double>) for each row of ``docs``, and the domains in the order of ``p``.
 
+    ``row`` is PLACE where ``docs`` has it, else a number.
+
     Bernoulli naive Bayes over presence and absence of the ``features`` tokens that tell domains apart best (chi-square),
     learnt from at most ``sample`` labelled documents in the order of a hash of their ids.  Both bounds are fixed, so both
     lists are broadcast.  A token must be RATIO times commoner in some domain than elsewhere, so long texts gather no noise.
@@ -50,7 +54,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, featu
         raise ValueError(f"{len(sizes)} domains; {DOMAINS} at most")
     names = list(sizes) or ["all"]
     total = sum(sizes.values())
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _tokens(F.col("text").cast("string")).alias("words"))
+    rows = docs.select((F.col(R.PLACE) if R.PLACE in docs.columns else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _tokens(F.col("text").cast("string")).alias("words"))
     prior = {d: math.log((sizes.get(d, 0) + 1) / (total + len(names))) for d in names}
     if len(names) == 1:
         return rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens"), F.array(F.lit(1.0)).alias("p")), names
@@ -78,12 +82,13 @@ def posteriors(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, featu
     return score.select("row", "doc_id", "n_tokens", F.array(*[x / whole for x in e]).alias("p")), names
 
 
-def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], cap: float = math.inf, steps: int = 40, tolerance: float = 1e-6, every: int = 5) -> tuple[DataFrame, dict[str, dict[str, float]]]:
+def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], cap: float = math.inf, steps: int = 40, tolerance: float = 1e-6, every: int = 5, least: Column | None = None) -> tuple[DataFrame, dict[str, dict[str, float]]]:
     """``soft`` with ``rate``, and by domain what was there, the target and what the rates give, in tokens.
 
     ``targets``: tokens wanted of each domain (missing: what is there).  Minimises sum over domains of (given - target)**2 /
-    available over 0 <= rate <= ``cap``, from rate 1, by gradient steps in the token-weighted metric; their Hessian's norm is
-    1 at most, so step length 1 needs no search.  Domains without tokens are left out.
+    available over ``least`` (0) <= rate <= ``cap``, from rate 1, by gradient steps in the token-weighted metric; their
+    Hessian's norm is 1 at most, so step length 1 needs no search.  Domains without tokens are left out.
+    A target that the bounds put out of reach by over 1 % of what is there is logged as a warning.
     """
     dims = range(len(names))
     table = scratch.written(soft.withColumn("rate", F.lit(float(min(1.0, cap)))), "rates")
@@ -95,7 +100,7 @@ def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], cap:
         gap = [round(y[k] - want[k], 12) if there[k] > 0 else 0.0 for k in dims]
         if max(map(abs, gap)) < tolerance:
             break
-        rate = F.greatest(F.lit(0.0), rate - sum((F.col("p")[k] * gap[k] for k in dims), F.lit(0.0)))
+        rate = F.greatest(F.lit(0.0) if least is None else least, rate - sum((F.col("p")[k] * gap[k] for k in dims), F.lit(0.0)))
         if cap < math.inf:
             rate = F.least(F.lit(float(cap)), rate)
         if (step + 1) % every == 0:
@@ -106,6 +111,9 @@ def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], cap:
             y = now
             break
         y = now
+    for k, d in enumerate(names):
+        if abs(y[k] - want[k]) > 0.01:
+            logging.getLogger(__name__).warning("domain %s: rates give %.4f of its tokens, target %.4f", d, y[k], want[k])
     report = {d: {"available": there[k], "target": want[k] * there[k], "given": y[k] * there[k]} for k, d in enumerate(names)}
     return table.withColumn("rate", rate), report
 
@@ -128,16 +136,19 @@ def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None =
     return fitted.select("row", "doc_id", "n_tokens", *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(names)], "rate", F.floor(F.col("rate") + u).cast("long").alias("copies"))
 
 
-def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], snap: float = 0.5) -> DataFrame:
-    """``docs`` after mixing without repetition (rates at most 1): a document stays with the probability of its rate.
+def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """``docs`` after mixing without repetition (rates at most 1): a row stays with the probability of its rate.
 
-    ``targets``: for each domain the part of its tokens to keep; others keep theirs.  Rates above 1 - ``snap`` are 1
-    (0.5: the nearest whole number of copies), so that an unsure posterior costs no document.
+    ``targets``: for each domain the part of its tokens to keep; others keep theirs.  A row that more likely than not belongs to
+    domains without a target is bound to rate 1 in the fit itself, so that an unsure posterior costs no document.
+    Rows are dropped by place: rows that repeat a doc_id, or have none, are judged by themselves.
     """
+    docs = R.placed(docs)
     soft, names = posteriors(docs, labelled_domains(labels))
     soft = scratch.written(soft, "soft")
     held = soft.agg(*[F.sum(F.col("n_tokens") * F.col("p")[k]) for k in range(len(names))]).first()
-    fitted, _ = fit_rates(soft, names, {d: targets[d] * (held[k] or 0.0) for k, d in enumerate(names) if d in targets}, cap=1.0, steps=15)
+    own = sum((F.col("p")[k] for k, d in enumerate(names) if d not in targets), F.lit(0.0))
+    least = F.when(own >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
+    fitted, _ = fit_rates(soft, names, {d: targets[d] * (held[k] or 0.0) for k, d in enumerate(names) if d in targets}, cap=1.0, least=least)
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drop = fitted.where((F.col("rate") < 1 - snap) & (u >= F.col("rate"))).select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(drop, docs["doc_id"] == F.col("__drop"), "left_anti")
+    return R.without(docs, fitted.where(u >= F.col("rate")).select("row"))

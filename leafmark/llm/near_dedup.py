@@ -3,14 +3,11 @@
 Plan, all of it distributed:
 
 1. one Python pass turns each whole text into its distinct 5-word shingles, their count, a 128-bit set digest and band keys;
-2. documents of one set digest and size are one class (its smallest doc_id), so copies never meet in a bucket;
+2. rows of one set digest and size are one class with a number of its own, so copies never meet in a bucket;
 3. every bucket links its members to one centre, another centre in each band, so a bucket of n costs n - 1 candidates;
 4. candidates are confirmed on the full shingle sets; confirmed links are joined by distributed union-find;
-5. buckets whose members still lie in several components go on with 4 more centres, then 64, 1,024 ...: each new centre is held
-   against the bucket's members of other components only, pairs held before are left out, and a bucket rests when it has one
-   component or when each of its members has been a centre.  Only pairs become rows whose parity bitmaps leave the threshold
-   within reach (an exact bound, checked inside the join), so variants around one text do not meet pair by pair.
-   That is the exact way for what one star cannot link.
+5. buckets whose members still lie in several components go on with further centres (see ``further``), so that variants around
+   one text do not meet pair by pair: the exact way for what one star cannot link.
 """
 
 from __future__ import annotations
@@ -23,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from . import graph, scratch
+from . import further, graph, scratch
+from . import rows as R
 
 BINS, BANDS, ROWS = 128, 25, 5
 PARITY = 16
@@ -64,29 +62,40 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
         return B.mix(out + np.arange(bands, dtype=B.U) * B.U(0x9E3779B97F4A7C15), 13).view(np.int64)
 
 
+def _digests(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over each document's hashes: one digest of the set."""
+    digest = np.zeros((2, len(n)), B.U)
+    some = n > 0
+    begin = np.concatenate([[0], np.cumsum(n)[:-1]])[some]
+    if len(begin):
+        for k in (0, 1):
+            digest[k, some] = np.add.reduceat(B.mix(h, 17 + k), begin)
+    return digest.view(np.int64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, buf, offsets in B.chunks(batch.column(1)):
             h, owner, n = B.shingle_sets(buf, offsets)
-            docs = hi - lo
-            digest = np.zeros((2, docs), B.U)
-            some = n > 0
-            begin = np.concatenate([[0], np.cumsum(n)[:-1]])[some]
-            if len(begin):
-                for k in (0, 1):
-                    digest[k, some] = np.add.reduceat(B.mix(h, 17 + k), begin)
+            docs, some = hi - lo, n > 0
+            digest = _digests(h, n)
             keys = band_keys(signatures(h, owner, docs))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)), pa.array(keys[some].ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, docs), pa.array(n.astype(np.int64)), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), lists], ["doc_id", "n_shingles", "h1", "h2", "keys"])
+            own = [batch.column(k).slice(lo, docs) for k in (0, 2, 3)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(digest[0]), pa.array(digest[1]), lists], ["doc_id", "at", "place", "n_shingles", "h1", "h2", "keys"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows id, text, h1, h2 -> id, shingles, where the text has that digest (an id's other texts are other classes')."""
     for batch in batches:
         for lo, hi, buf, offsets in B.chunks(batch.column(1)):
             h, _, n = B.shingle_sets(buf, offsets)
+            digest = _digests(h, n)
+            own = [batch.column(k).slice(lo, hi - lo) for k in (0, 2, 3)]
+            good = (digest[0] == own[1].to_numpy()) & (digest[1] == own[2].to_numpy())
             ends = np.concatenate([[0], np.cumsum(n)]) * 8
             packed = pa.BinaryArray.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), packed], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([own[0].filter(pa.array(good)), packed.filter(pa.array(good))], ["id", "shingles"])
 
 
 def _parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +120,7 @@ def _confirm(percent: int):
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 good[i] = 100 * common >= percent * (len(both) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(good)], ["a", "b", "good"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), batch.column(1).filter(pa.array(good))], ["a", "b"])
 
     return run
 
@@ -121,83 +130,69 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked when 100 * intersection >= ``percent`` * union of their shingle sets (``percent`` 80 or more suits
     the 25 bands of 5: a pair at 0.80 is missed with probability 5e-5, at 0.85 with 4e-7).
-    A null, empty or wordless text has no shingles and is linked with nothing; fewer than five words make one shingle.
-    Rows that repeat a doc_id count as one document.  A row without doc_id joins the component of its equals but never names
-    it, and is kept only if no row with an id equals it.  Other columns, whatever their names, are not read.
-    An empty table gives an empty result.
+    A null, empty or wordless text has no shingles and is linked with nothing (component_id is its doc_id); fewer than five
+    words make one shingle.  Rows that repeat a doc_id are judged by their own texts.  A row without doc_id is linked like any
+    other but never names a component; one without any doc_id has component_id null, and its rows are kept.
+    Other columns, whatever their names, are not read.  An empty table gives an empty result.
     """
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketch = scratch.written(ids.mapInArrow(_sketch, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "sketch")
-    equal = ["n_shingles", "h1", "h2"]
-    classes = sketch.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep"))
-    member = scratch.written(sketch.join(classes, equal, "left").select("doc_id", "n_shingles", "rep", F.expr("CASE WHEN doc_id = rep THEN keys END").alias("keys")), "member")
+    out = _components(docs.withColumn(R.PLACE, F.lit(None).cast("string")), id_col, text_col, percent)
+    return out.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
-    reps = member.where("keys is not null").select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    buckets = reps.groupBy("key").agg(F.count("*").alias("size"), F.min(F.xxhash64("id", "key")).alias("low")).where("size > 1")
-    bucket = scratch.written(reps.join(buckets, "key").withColumn("rank", F.xxhash64("id", "key")), "bucket")
-    needed = bucket.select("id").distinct()
-    sets = ids.join(needed, ids.doc_id == needed.id, "left_semi").mapInArrow(_pack, "doc_id long, shingles binary")
-    sets = scratch.written(sets, "sets")
 
-    def pairs_of(members: DataFrame, centres: DataFrame) -> DataFrame:
-        """centres: key, centre, m [, croot]."""
-        p = members.join(centres, "key").where(f"id <> centre AND 100 * least(n, m) >= {percent} * greatest(n, m)")
-        return p.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """doc_id, place, n_shingles, root (of the row's class; null without shingles), component_id for each row of ``docs``."""
+    text = F.col(text_col).cast("string")
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("at"), F.col(R.PLACE).alias("place"))
+    sketch = ids.mapInArrow(_sketch, "doc_id long, at long, place string, n_shingles long, h1 long, h2 long, keys array<long>")
+    sketch = scratch.written(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
+    # a class is found again by the doc_id (or else text) of one of its rows; rows are numbered once, in the written table
+    equal = ["n_shingles", "h1", "h2"]
+    classes = sketch.where("n_shingles > 0").groupBy(*equal).agg(F.min(F.struct("at", "row")).alias("first"))
+    member = sketch.join(classes, equal, "left").withColumn("id", F.col("first.row"))
+    member = scratch.written(member.select("doc_id", "place", "at", *equal, "id", F.expr("CASE WHEN row = id THEN keys END").alias("keys")), "member")
+    scratch.dropped(sketch)
+
+    reps = member.where("keys is not null")
+    exploded = reps.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    buckets = exploded.groupBy("key").agg(F.count("*").alias("size"), F.min(F.xxhash64("id", "key")).alias("low")).where("size > 1")
+    bucket = scratch.written(exploded.join(buckets, "key").withColumn("rank", F.xxhash64("id", "key")), "bucket")
+    needed = reps.join(bucket.select("id").distinct(), "id", "left_semi").select("id", "at", "h1", "h2")
+    packed = ids.join(needed, "at").select("id", "text", "h1", "h2").mapInArrow(_pack, "id long, shingles binary")
+    if not member.groupBy("at").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        packed = packed.dropDuplicates(["id"])
+    sets = scratch.written(packed, "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-        y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+        x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         full = pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb")
-        return scratch.written(full.mapInArrow(_confirm(percent), "a long, b long, good boolean"), "held")
+        return scratch.written(full.mapInArrow(_confirm(percent), "a long, b long"), "links")
 
     centres = bucket.where("rank = low").select("key", F.col("id").alias("centre"), F.col("n").alias("m"))
-    held = confirmed(pairs_of(bucket, centres))
-    roots = graph.components(held.where("good"))
-
-    # what one star could not link: further centres, only for buckets over several components
-    turn, width = 1, 4
-
-    def spread(members: DataFrame) -> DataFrame:
-        """Members of buckets over several components, with their roots."""
-        at = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        several = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-        return at.join(several, "key")
-
-    # an exact bound: two sets differ in at least as many shingles as their parity bitmaps differ in bits
-    open_ = scratch.written(spread(bucket.where("size > 2")).drop("root"), "spread")
-    done = open_.select("key", F.col("low").alias("upto")).distinct()
-    inside = sets.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    open_ = scratch.written(open_.join(inside.mapInArrow(_parity, "id long, bits array<long>"), "id").select("key", "id", "n", "bits", "rank"), "parity")
-    apart = " + ".join(f"bit_count(bits[{k}] ^ cbits[{k}])" for k in range(PARITY))
-    while True:
-        at = scratch.written(spread(open_).join(done, "key").select("key", "id", "n", "bits", "rank", "root", "upto"), "open")
-        left = at.where("rank > upto")
-        if left.isEmpty():
-            break
-        slot = F.pmod(F.xxhash64("rank", F.lit(turn)), F.lit(width))
-        new = left.groupBy("key", slot.alias("slot")).agg(F.min("rank").alias("rank"))
-        # centres go in the order of rank: all up to the smallest maximum over the slots are taken
-        upto = new.groupBy("key").agg(F.max("rank").alias("top"))
-        left = left.join(upto, "key").where("rank <= top")
-        centres = left.select("key", F.col("id").alias("centre"), F.col("n").alias("m"), F.col("bits").alias("cbits"), F.col("root").alias("croot"))
-        p = at.join(centres, "key").where(f"id <> centre AND root <> croot AND {100 + percent} * ({apart}) <= {100 - percent} * (n + m)")
-        p = p.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        p = scratch.written(p.join(held, ["a", "b"], "left_anti"), "pairs")
-        if not p.isEmpty():
-            fresh = confirmed(p)
-            held = scratch.written(held.unionByName(fresh), "held")
-            if not fresh.where("good").isEmpty():
-                roots = graph.components(held.where("good"))
-        done = scratch.written(at.groupBy("key").agg(F.max("upto").alias("upto")).join(upto, "key", "left").select("key", F.coalesce("top", "upto").alias("upto")), "done")
-        open_ = at.select("key", "id", "n", "bits", "rank")
-        turn, width = turn + 1, width * 16
-
-    of = roots.select(F.col("node").alias("rep"), "root")
-    out = member.drop("keys").join(of, "rep", "left").withColumn("component_id", F.coalesce("root", "rep", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    stars = bucket.join(centres, "key").where(f"id <> centre AND 100 * least(n, m) >= {percent} * greatest(n, m)")
+    stars = scratch.written(stars.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "stars")
+    links = confirmed(stars)
+    roots = graph.components(links)
+    scratch.dropped(links)
+
+    members = scratch.written(further.spread(bucket.where("size > 2").select("key", "id"), roots), "spread")
+    bits = sets.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(_parity, "id long, bits array<long>")
+    sketches = scratch.written(bits.join(reps.select("id", F.col("n_shingles").alias("n"), "keys"), "id"), "sketches")
+    roots = further.linked(members, sketches, roots, stars, confirmed, percent, PARITY)
+    scratch.dropped(bucket, sets, stars, members, sketches)
+
+    own = further.rooted(member.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("least")), roots)
+    own = scratch.written(own, "classes")
+    best = own.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = own.join(best, "root").select("id", "root", "component_id")
+    out = member.select("doc_id", "place", "n_shingles", "id").join(of, "id", "left")
+    return out.select("doc_id", "place", "n_shingles", "root", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``docs`` with one document of each component, all columns kept."""
-    drop = near_duplicates(docs, percent=percent).where("NOT kept").select(F.col("doc_id").alias("__drop"))
-    return docs.join(drop, docs["doc_id"] == F.col("__drop"), "left_anti")
+    """``docs`` with one row of each component, that of the smallest doc_id (null last; ties by place), all columns kept."""
+    docs = R.placed(docs)
+    at = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "place")
+    rows = scratch.written(_components(docs, "doc_id", "text", percent).where("root is not null").select("root", at.alias("at")), "rows")
+    best = rows.groupBy("root").agg(F.min("at").alias("best"))
+    return R.without(docs, rows.join(best, "root").where("at <> best").select("at.place"))

@@ -53,7 +53,30 @@ def test_exact_odd_rows(spark):
     got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(rows).collect()}
     assert got == {(None, 2, 3, False), (2, 2, 3, True), (None, None, 1, True)}
     kept = exact_dedup.without_duplicates(rows)
-    assert kept.columns == rows.columns and kept.where("doc_id = 2").count() == 2
+    assert kept.columns == rows.columns and sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, None), (2, "a")]
+
+
+@pytest.mark.parametrize("bits", [256, 8])
+def test_dropping_goes_by_row(spark, tmp_path, bits):
+    rows = [(1, "a"), (2, "a"), (2, "unique b"), (None, "c c"), (None, "c  c"), (3, "d"), (3, "d"), (None, None), (None, ""), *((100 + k, f"text {k // 2}") for k in range(400))]
+    frame = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _metadata string, place int")
+    frame.drop("_metadata").repartition(5).write.parquet(str(tmp_path / "docs"))
+    want = sorted({(min((j if j is not None else 2**63 for j, u in rows if norm(u) == norm(t))), norm(t)) for _, t in rows})
+    for docs in (frame, spark.read.parquet(str(tmp_path / "docs"))):
+        got = exact_dedup.without_duplicates(docs, bits=bits)
+        assert got.columns == docs.columns
+        assert sorted((r.doc_id if r.doc_id is not None else 2**63, norm(r.text)) for r in got.collect()) == want
+
+
+def test_near_dropping_goes_by_row(spark):
+    base = [f"w{k}" for k in range(60)]
+    changed = [*base[:59], "other"]
+    rows = [(1, " ".join(base)), (2, " ".join(changed)), (2, "something else that is unlike all other texts of this table"), (None, " ".join(base)), (None, "no id and alone in the table here"), (None, "no id and alone in the table  here"), (5, None), (6, "")]
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, root int")
+    kept = near_dedup.without_near_duplicates(frame, percent=80).collect()
+    assert sorted(r.root for r in kept if r.root not in (4, 5)) == [0, 2, 6, 7] and len(kept) == 5
+    by_row = near_dedup.near_duplicates(frame, percent=80).collect()
+    assert sorted((r.doc_id or -1, r.component_id) for r in by_row if r.component_id) == [(-1, 1), (1, 1), (2, 1), (2, 2), (5, 5), (6, 6)]
 
 
 def shingles(t):
@@ -110,6 +133,9 @@ def test_near_odd_rows(spark):
     rows = spark.createDataFrame([(None, "a b c d e f", 1), (2, "a b c d e f", 2), (2, "a b c d e f", 3), (None, None, 4), (9, "z", 5)], "doc_id long, text string, keys int")
     got = sorted(((r.doc_id or -1, r.component_id, r.kept) for r in near_dedup.near_duplicates(rows).collect()), key=str)
     assert got == sorted([(-1, 2, False), (2, 2, True), (2, 2, True), (-1, None, True), (9, 9, True)], key=str)
+    long = " ".join(f"w{k % 977}" for k in range(200_000))
+    rows = spark.createDataFrame([(1, long), (2, long + " more"), (3, long.upper())], "doc_id long, text string")
+    assert {r.component_id for r in near_dedup.near_duplicates(rows).collect()} == {1}
     assert near_dedup.without_near_duplicates(rows).columns == rows.columns
 
 
