@@ -6,9 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Tables of fewer bytes than this may be dealt out anew; beyond, their files have more splits than there are cores.
+SMALL = 1 << 28
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """A file that cannot be split (one row group) would keep all but one core idle: its rows are dealt out.  Larger inputs stay."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if 1 << 18 < size < SMALL and len(rows.inputFiles()) < cores else rows
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:

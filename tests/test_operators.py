@@ -83,6 +83,20 @@ def test_filenames(spark, name, want):
     assert (got.essay, got.part, got.title, got.work) == want
 
 
+def test_rosters(spark):
+    files = spark.createDataFrame([("1492003384127-Dhooja-Bhau-Part-2.pdf",), ("Lekh-110-Simran-Part-1-SS-English-_-Punjabi.pdf",), ("Odd 3.pdf",), ("1491995000063-Shabad-Part-6-edit-2-JK-fixed.pdf",)], "file string")
+    roster = spark.createDataFrame([("Odd 3.pdf", "odd", "The Odd One", 3, None, "B", True, None), ("bad.pdf", "bad", "Bad", None, None, None, None, "scan too poor")], filenames.ROSTER)
+    got = {r.file: (r.essay, r.part, r.title, r.work, r.author) for r in filenames.works(files, roster).collect()}
+    assert list(got.values()) == [(127, 2, "Dhooja Bhau", "dhooja-bhau", None), (110, 1, "Simran", "simran", None), (None, 3, "The Odd One", "odd", "B"), (63, 6, "Shabad", "shabad", None)]
+    assert filenames.unnamed(files, roster).count() == 3
+    rows = filenames.works(files.unionByName(spark.createDataFrame([("bad.pdf",)], "file string")), roster)
+    take, held = filenames.taken(rows)
+    assert take.count() == 4 and [(r.file, r.why) for r in held.collect()] == [("bad.pdf", "scan too poor")]
+    more = spark.createDataFrame([("b.pdf", "w", "T", 2, None, True, None, "en", "cc"), ("a.pdf", "w", "U", None, "X", False, None, "pa", None), ("c.pdf", "w", "T", 1, None, True, None, "en", None)], "file string, work string, title string, part int, author string, original boolean, quote_policy string, language string, licence string")
+    r = filenames.rolled_up(more, "Z").first()
+    assert (r.title, r.author, r.original, r.quote_policy, r.parts, r.names, r.files, r.language) == ("T", "X", False, "summarise", [1, 2], ["a.pdf", "b.pdf", "c.pdf"], 3, "pa")
+
+
 # -- alignment ------------------------------------------------------------------------------------------------------------
 def distance(a, b):
     row = list(range(len(b) + 1))
@@ -133,6 +147,8 @@ def test_vote():
     assert alignment.vote([read("cot"), read("cat"), read("cat")])[:2] == ("cat", round(2 / 3, 3))
     assert alignment.vote([read("ct"), read("cat"), read("cat")])[0] == "cat"
     assert alignment.vote([read("cat"), read("cut")])[0] == "cat"
+    assert alignment.vote([read("ct"), read("cat"), read("cart")])[0] == "ct" and alignment.vote([read("cat"), read("ca"), read("ca")])[0] == "ca"
+    assert alignment.vote([read("abc"), read("abc xx", 0.4), read("  ")]) == ("abc", 1.0, None, 2)
     assert alignment.vote([read("cat", c=0.5)])[:3] == ("cat", None, 0.5) and alignment.vote([]) == ("", None, None, 0)
 
 
@@ -258,7 +274,10 @@ def test_furniture(spark):
 
 
 def test_merging_steps(spark):
-    assert merging.tidied("।, so the the river runs", ["the river runs"]) == "so the river runs"
+    tidy = lambda t, *c: one(spark, merging.tidy_seams(F.col("t"), F.array(*map(F.lit, c))), t=t)
+    assert tidy("।, so the the river runs", "the river runs") == "so the river runs"
+    assert tidy("breathe the river runs", "the river runs") == "breathe the river runs" and tidy("the the sea", "the sea") == "the sea"
+    assert tidy("a  b ॥ ॥ ।", "x") == "a b ॥" and tidy("the sea", "the sea") == "the sea"
     spans = F.expr("array(named_struct('start', 4, 'end', 7, 'new', 'XX'), named_struct('start', 6, 'end', 9, 'new', 'Y'))")
     assert one(spark, merging.spliced(F.col("t"), spans), t="abc def ghi") == "abc XXYhi"
     streams_ = spark.createDataFrame([(1, 0, 5, [3, 4])], "page long, run long, first int, sizes array<int>")
