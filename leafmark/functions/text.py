@@ -79,6 +79,11 @@ def graphemes(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"(?s)\X"), F.lit(0))
 
 
+def characters(c: Column) -> Column:
+    """Code points, one a piece."""
+    return F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+
+
 def script_of(c: Column) -> Column:
     g, d, latin = c.rlike("[਀-੿]"), c.rlike("[ऀ-ॿ]"), c.rlike("[A-Za-z]")
     n = g.cast("int") + d.cast("int") + latin.cast("int")

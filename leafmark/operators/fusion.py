@@ -68,20 +68,27 @@ def voters(engines: DataFrame, accuracy: DataFrame, pivot: str) -> DataFrame:
     return engines.join(accuracy, "engine", "left").where((F.col("engine") == pivot) | F.col("accuracy").isNull() | (F.col("accuracy") >= BAR)).select("engine")
 
 
-def positional_vote(readings: DataFrame, key: list[str]) -> DataFrame:
-    """Readings (key, rank from 0 = pivot, items array, weight, conf) aligned one to one: key, text, agreement, voters.
+def positional_vote(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``readings`` array<struct<items, weight, conf>> of one length, the pivot first -> text, agreement, same, columns, voters.
 
-    Each column sums its voters' weights; the pivot is heavier by a hair; agreement is the share of unanimous columns, null for
-    a single witness.
+    Each position goes to the item whose readings weigh most together; the pivot is heavier by a hair; agreement is the share
+    of unanimous positions, null for a single witness.  Everything happens inside the row.
     """
-    rows = readings.withColumn("w", F.col("weight") * F.coalesce("conf", F.lit(DEFAULT_CONF)) + F.when(F.col("rank") == 0, 1e-6).otherwise(0.0))
-    n = rows.groupBy(*key).agg(F.count("*").alias("voters"))
-    cells = rows.select(*key, "rank", "w", F.posexplode("items").alias("i", "g"))
-    ballots = cells.groupBy(*key, "i", "g").agg(F.sum("w").alias("w"), F.count("*").alias("votes"), F.min("rank").alias("first"))
-    columns = ballots.groupBy(*key, "i").agg(F.max_by(F.struct("g", "votes"), F.struct(F.bround("w", 9), -F.col("first"))).alias("b"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "b"))), lambda x: x["b"]["g"]), "")
-    out = columns.join(n, key).groupBy(*key, "voters").agg(text.alias("text"), F.count_if(F.col("b.votes") == F.col("voters")).alias("same"), F.count("*").alias("columns"))
-    return out.select(*key, "text", F.when(F.col("voters") > 1, F.bround(F.col("same") / F.col("columns"), 3)).alias("agreement"), "same", "columns", "voters")
+    heavier = F.transform("readings", lambda r, k: F.struct(r["items"].alias("items"), (r["weight"] * F.coalesce(r["conf"], F.lit(DEFAULT_CONF)) + F.when(k == 0, 1e-6).otherwise(0.0)).alias("w"), k.alias("k")))
+    rows = lines.withColumn("readings", heavier)
+
+    def at(i: Column) -> Column:
+        def support(item: Column) -> Column:
+            return F.bround(F.aggregate("readings", F.lit(0.0), lambda s, r: s + F.when(F.get(r["items"], i) == item, r["w"]).otherwise(0.0)), 9)
+
+        return F.array_max(F.transform("readings", lambda r: F.struct(support(F.get(r["items"], i)).alias("w"), (-r["k"]).alias("k"), F.get(r["items"], i).alias("g"))))["g"]
+
+    one = F.get("readings", F.lit(0))["items"]
+    each = F.sequence(F.lit(0), F.size(one) - 1)
+    rows = rows.withColumn("text", F.when(F.size(one) > 0, F.array_join(F.transform(each, at), "")).otherwise(""))
+    rows = rows.withColumn("same", F.when(F.size(one) > 0, F.size(F.filter(each, lambda i: F.forall("readings", lambda r: F.get(r["items"], i) == F.get(one, i))))).otherwise(0).cast("long"))
+    rows = rows.withColumn("columns", F.size(one).cast("long")).withColumn("voters", F.size("readings"))
+    return rows.withColumn("agreement", F.when(F.col("voters") > 1, F.bround(F.col("same") / F.col("columns"), 3))).drop("readings")
 
 
 def kind_of(bold: Column, matched: Column, text: Column) -> Column:

@@ -30,7 +30,7 @@ _BOX2 = "(100 + para_no % 5 * 150)::INT AS x0, (para_no * 40 + para_no * 7 % 33
 
 def _boxes(spark: SparkSession, sf: str, box: str, keep: str = "true") -> DataFrame:
     exprs = ", ".join(box.replace("::INT", "").split(", "))
-    rows = _lines(spark, sf).where(keep).selectExpr("page", "para_no AS n", *exprs.split(", "), "left(text, 20) AS text")
+    rows = _lines(spark, sf).where(keep).selectExpr("page", "para_no AS n", *exprs.split(", "), "text")
     return rows.select("page", "n", *[F.col(c).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")], "text")
 
 
@@ -46,7 +46,7 @@ def orphans_adopted(spark: SparkSession, sf: str) -> DataFrame:
     return V.adopted(V.orphans(_boxes(spark, sf, _BOX, "para_no % 3 <> 0"), _boxes(spark, sf, _BOX2), ["page"]), ["page"]).select("page", "n")
 
 
-_ZTEXT = "CASE WHEN para_no % 17 = 3 THEN 'Page ' || page || ' of 530' WHEN para_no % 13 = 1 THEN '( ' || page || ' )' WHEN para_no % 19 = 18 THEN '1. ' || left(text, 60) WHEN para_no % 29 = 5 THEN '' ELSE left(text, 120) END"
+_ZTEXT = "CASE WHEN para_no % 17 = 3 THEN 'Page ' || page || ' of 530' WHEN para_no % 13 = 1 THEN '( ' || page || ' )' WHEN para_no % 19 = 18 THEN '1. ' || text WHEN para_no % 29 = 5 THEN '' ELSE text END"
 _ZBOX = "para_no * 330 % 3300"
 
 
@@ -68,7 +68,7 @@ def two_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def paragraph_breaks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "para_no * 12 + CASE WHEN para_no % 6 = 0 THEN 9 ELSE 0 END AS y", "50 + CASE WHEN para_no % 5 = 0 THEN 10 ELSE 0 END AS x", "CASE WHEN para_no % 9 = 0 THEN 14 ELSE 10 END AS size", "para_no % 7 = 0 AS italic", "left(text, 40) AS text")
+    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "para_no * 12 + CASE WHEN para_no % 6 = 0 THEN 9 ELSE 0 END AS y", "50 + CASE WHEN para_no % 5 = 0 THEN 10 ELSE 0 END AS x", "CASE WHEN para_no % 9 = 0 THEN 14 ELSE 10 END AS size", "para_no % 7 = 0 AS italic", "text")
     return L.paragraph_breaks(rows, ["page"]).select("page", "n", "para")
 
 
@@ -82,28 +82,26 @@ def bold_split(spark: SparkSession, sf: str) -> DataFrame:
     return L.bold_split(rows, ["page"]).select("page", F.floor(F.col("threshold") * 2).cast("long").alias("twice"), "regular")
 
 
-_ENGINES = [("pivot", "left(text, 80)", 0.9, None), ("second", "translate(left(text, 80), 'eo', 'co')", 0.8, 0.9), ("third", "translate(left(text, 80), 'nt', 'nl')", 0.7, 0.5)]
+_ENGINES = [("pivot", "text", 0.9, None), ("second", "translate(text, 'eo', 'co')", 0.8, 0.9), ("third", "translate(text, 'nt', 'nl')", 0.7, 0.5)]
 
 
 def vote_majority(spark: SparkSession, sf: str) -> DataFrame:
     """Three readings of equal length: alignment is the identity."""
-    base = _lines(spark, sf).where("text rlike '^[ -~]+$'")
-    parts = [base.select("page", F.col("para_no").alias("n"), F.lit(i).alias("rank"), F.split(F.expr(e), "").alias("items"), F.lit(w).alias("weight"), F.lit(c).cast("double").alias("conf")) for i, (_, e, w, c) in enumerate(_ENGINES)]
-    got = V.positional_vote(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["page", "n"])
+    readings = F.array(*[F.struct(X.characters(F.expr(e)).alias("items"), F.lit(w).alias("weight"), F.lit(c).cast("double").alias("conf")) for _, e, w, c in _ENGINES])
+    got = V.positional_vote(_lines(spark, sf).select("page", F.col("para_no").alias("n"), readings.alias("readings")))
     return got.select("page", F.col("voters").cast("long").alias("voters"), "text", "same", "columns")
 
 
 def vote_aligned(spark: SparkSession, sf: str) -> DataFrame:
     """Readings of different lengths, aligned by edit scripts."""
-    base = _lines(spark, sf).where("text rlike '^[ -~]+$'").withColumn("t", F.expr("left(text, 60)"))
-    readings = F.array(*[F.struct(F.split(e, "").alias("items"), F.lit(w).alias("weight"), F.lit(c).cast("double").alias("conf")) for e, w, c in ((F.col("t"), 0.9, None), (F.regexp_replace("t", "th", "t"), 0.8, 0.9), (F.regexp_replace("t", "e", "ee"), 0.7, 0.5))])
+    base = _lines(spark, sf)
+    readings = F.array(*[F.struct(X.characters(e).alias("items"), F.lit(w).alias("weight"), F.lit(c).cast("double").alias("conf")) for e, w, c in ((F.col("text"), 0.9, None), (F.regexp_replace("text", "th", "t"), 0.8, 0.9), (F.regexp_replace("text", "e", "ee"), 0.7, 0.5))])
     return base.select("page", "para_no", readings.alias("r")).withColumn("v", voted("r")).select("page", "para_no", "v.text", "v.agreement", "v.n")
 
 
 def cer_wer_by_engine(spark: SparkSession, sf: str) -> DataFrame:
-    base = _lines(spark, sf).where("text rlike '^[ -~]+$' AND length(text) <= 300 AND para_no <= 40")
-    kinds = base.selectExpr("CASE WHEN para_no % 4 = 0 THEN 'heading' ELSE 'body' END AS kind", "text")
-    rows = [kinds.selectExpr(f"'{name}' AS engine", "kind", "text AS ref", f"{e.replace('left(text, 80)', 'text')} AS hyp") for name, e, _, _ in _ENGINES]
+    kinds = _lines(spark, sf).selectExpr("CASE WHEN para_no % 4 = 0 THEN 'heading' ELSE 'body' END AS kind", "text")
+    rows = [kinds.selectExpr(f"'{name}' AS engine", "kind", "text AS ref", f"{e} AS hyp") for name, e, _, _ in _ENGINES]
     return E.error_rates(rows[0].unionByName(rows[1]).unionByName(rows[2])).select(F.coalesce("kind", F.lit("all")).alias("kind"), "engine", "lines", "edits", "chars", "word_edits", "words")
 
 
@@ -153,18 +151,13 @@ def bake_off(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _keyed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    base = _lines(spark, sf).selectExpr("page * 100000 + para_no AS qid", "left(text, 120) AS text")
+    base = _lines(spark, sf).selectExpr("page * 100000 + para_no AS qid", "text")
     return base.select("qid", "text", M.match_key(F.col("text")).alias("key")), corpus_lines(table(spark, sf, "benchmark")).select("line_id", "ang", "text", M.match_key(F.col("text")).alias("key"))
 
 
-#: Characters that keys fold or that clusters join.
-_OTHER = "[਀-੿ऀ-ॿ।॥|‘’`´“”′″]"
-
-
 def trigram_candidates_topk(spark: SparkSession, sf: str) -> DataFrame:
     queries, corpus = _keyed(spark, sf)
-    ascii_only = lambda d: d.where(~F.col("text").rlike(_OTHER))
-    return M.candidates(ascii_only(queries), ascii_only(corpus), 5)
+    return M.candidates(queries, corpus, 5)
 
 
 def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,13 +168,13 @@ def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def correct_words(spark: SparkSession, sf: str) -> DataFrame:
-    book = K.word_support(_lines(spark, sf), "text", 30).where("length(word) >= 4").select("word")
+    book = K.word_support(_lines(spark, sf), "text", 30).select("word")
     broken = book.select(F.translate("word", "eo", "ce").alias("word"), F.col("word").alias("truth")).where("word <> truth").join(book, "word", "left_anti")
     return K.corrections(broken, book, {"c>e": 0.3, "e>o": 0.4}).select("word", "best", "verdict")
 
 
 def learned_confusions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).where("text rlike '^[ -~]+$'").select(F.split(F.expr("translate(left(text, 60), 'eo', 'co')"), "").alias("reading"), F.split(F.expr("left(text, 60)"), "").alias("truth"))
+    rows = _lines(spark, sf).select(X.characters(F.expr("translate(text, 'eo', 'co')")).alias("reading"), X.characters(F.col("text")).alias("truth"))
     return K.learned_confusions(rows).select("a", "b", "n")
 
 
@@ -285,12 +278,9 @@ def _share(a0: str, a1: str, b0: str, b1: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    a, b = (f"SELECT page, para_no AS n, {box}, left(text, 20) AS text FROM paras" for box in (_BOX, _BOX2))
+    a, b = (f"SELECT page, para_no AS n, {box}, text FROM paras" for box in (_BOX, _BOX2))
     v, h = _share("p.y0", "p.y1", "o.y0", "o.y1"), _share("p.x0", "p.x1", "o.x0", "o.x1")
-    ascii_ = "regexp_full_match(text, '[ -~]+')"
-    reading = {n: e for n, e, _, _ in _ENGINES}
-    votes = " UNION ALL ".join(f"SELECT page, para_no AS n, {i} AS rank, {w * (0.8 if c is None else c) + (1e-6 if i == 0 else 0)} AS w, {e} AS t FROM paras WHERE {ascii_}" for i, (_, e, w, c) in enumerate(_ENGINES))
-    tok = f"list_filter(list_transform(string_split({{0}}, ' '), lambda w: regexp_replace(w, '^{X._class(X.PUNCTUATION)}+|{X._class(X.PUNCTUATION)}+$', '', 'g')), lambda w: w <> '')".replace("\"'", "\"''")
+    votes = " UNION ALL ".join(f"SELECT page, para_no AS n, {i} AS rank, {w * (0.8 if c is None else c) + (1e-6 if i == 0 else 0)} AS w, {e} AS t FROM paras" for i, (_, e, w, c) in enumerate(_ENGINES))
     why = """CASE WHEN kind = 'gurbani' THEN NULL WHEN kind = 'gurbani-unmatched' THEN 'unmatched-bold' WHEN agreement < 0.85 THEN 'low-agreement'
         WHEN oov > 0.25 AND n_words >= 4 THEN 'oov' WHEN conf < 0.5 THEN 'low-conf' END"""
     routed = f"""{SQL}, r AS (SELECT page, para_no AS n, CASE para_no % 11 WHEN 0 THEN 'gurbani' WHEN 1 THEN 'gurbani-unmatched' ELSE 'commentary' END AS kind, CASE WHEN para_no % 3 <> 0 THEN (page * 7 + para_no * 13) % 100 / 100.0::DOUBLE END AS agreement,
@@ -298,20 +288,10 @@ def oracle_sql() -> dict[str, str]:
         w AS (SELECT *, {why} AS why FROM r)"""
     acc = "a AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', {x if x is not None else 'NULL'}::DOUBLE)" for n, x in _ACC) + ") v(engine, accuracy))"
     key = "regexp_replace(trim(regexp_replace({0}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), '[^A-Za-z0-9]', '', 'g')"
-    # keys of one-character clusters, as plain strings
-    simple = f"NOT regexp_matches({{0}}, '{_OTHER}')"
     style = "CASE role WHEN 'system' THEN 'heading' WHEN 'user' THEN 'quote' ELSE 'body' END"
     files = ", ".join(f"({i}, '{f}', {q(lic) if lic else 'NULL'}, {q(p) if p else 'NULL'})" for i, (f, lic, p) in enumerate(_FILES))
     rank = "row_number() OVER (PARTITION BY {0} ORDER BY n_chars) AS r, count(*) OVER (PARTITION BY {0}) AS n"
 
-    def errors() -> str:
-        parts = " UNION ALL ".join(f"SELECT '{n}' AS engine, CASE WHEN para_no % 4 = 0 THEN 'heading' ELSE 'body' END AS kind, text AS ref, {e.replace('left(text, 80)', 'text')} AS hyp FROM paras WHERE {ascii_} AND length(text) <= 300 AND para_no <= 40" for n, e in reading.items())
-        norm = lambda c: f"trim(regexp_replace({c.replace(chr(96), chr(39))}, ' +', ' ', 'g'))"
-        return f"""{SQL}, e AS ({parts}), n AS (SELECT engine, kind, {norm('ref')} AS r, {norm('hyp')} AS h FROM e),
-            t AS (SELECT *, {tok.replace('{0}', 'r')} AS rw, {tok.replace('{0}', 'h')} AS hw FROM n),
-            m AS (SELECT engine, kind, levenshtein(r, h) AS edits, length(r) AS chars, len(list_filter(range(1, len(rw) + 1), lambda i: rw[i] <> hw[i])) AS word_edits, len(rw) AS words FROM t)
-            SELECT coalesce(kind, 'all') AS kind, engine, count(*) AS lines, sum(edits)::BIGINT AS edits, sum(chars)::BIGINT AS chars, sum(word_edits)::BIGINT AS word_edits, sum(words)::BIGINT AS words FROM m GROUP BY GROUPING SETS ((engine), (engine, kind))"""
-
     return {
         "box_overlap_join": f"WITH {SQL}, p AS ({a}), o AS ({b}) SELECT page, p.n AS n, trim(string_agg(o.text, ' ' ORDER BY o.x0, o.n)) AS text FROM p JOIN o USING (page) WHERE {v} >= 0.5 AND {h} >= 0.3 GROUP BY page, p.n",
         "orphan_anti_join": f"""WITH {SQL}, p AS ({a} WHERE para_no % 3 <> 0), o AS ({b}), u AS (SELECT page, list_sort(list(y1 - y0))[(count(*) // 2 + 1)::INT] AS usual FROM p GROUP BY page)
@@ -345,7 +325,6 @@ def oracle_sql() -> dict[str, str]:
         "vote_majority": f"""WITH {SQL}, r AS ({votes}), c AS (SELECT page, n, rank, w, unnest(string_split(t, '')) AS g, generate_subscripts(string_split(t, ''), 1) AS i FROM r),
             b AS (SELECT page, n, i, g, round(sum(w), 9) AS w, count(*) AS votes, min(rank) AS first FROM c GROUP BY ALL), x AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY page, n, i ORDER BY w DESC, first) = 1)
             SELECT page, 3::BIGINT AS voters, string_agg(g, '' ORDER BY i) AS text, count(*) FILTER (votes = 3) AS same, count(*) AS columns FROM x GROUP BY page, n""",
-        "cer_wer_by_engine": f"WITH {errors()}",
         "eval_grouping_sets": "SELECT lang, source, count(*) AS n, sum(quality)::BIGINT AS good FROM documents JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((lang), (lang, source))",
         "routing_cells": f"WITH {routed} SELECT count(*) FILTER (why IS NOT NULL AND bad) AS caught, count(*) FILTER (why IS NOT NULL AND NOT bad) AS needless, count(*) FILTER (why IS NULL AND bad) AS missed, count(*) FILTER (why IS NULL AND NOT bad) AS fine FROM w",
         "routing_reasons": f"WITH {routed} SELECT coalesce(why, 'none') AS why, count(*) AS n, count(*) FILTER (bad) AS bad FROM w GROUP BY ALL",
@@ -357,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
         "voter_choice": f"WITH {acc} SELECT engine FROM a WHERE engine = 'surya' OR accuracy IS NULL OR accuracy >= 0.9",
         "auto_weights": f"WITH {acc} SELECT engine, CASE WHEN accuracy IS NULL THEN 500 ELSE round_even(pow(accuracy, 4) * 1000, 0)::BIGINT END AS weight_mil FROM a",
         "bake_off": "SELECT lang, 'e' || doc_id % 3 AS engine, bool_and(CASE WHEN doc_id % 3 = 0 THEN 0.95 ELSE 0.8::DOUBLE + (doc_id % 20) / 100.0::DOUBLE END >= 0.9::DOUBLE) AS chosen, count(*) AS books FROM documents GROUP BY ALL",
-        "trigram_candidates_topk": f"""WITH {SQL}, k AS (SELECT page * 100000 + para_no AS qid, {key.format('left(text, 120)')} AS k FROM paras WHERE {simple.format('left(text, 120)')}), l AS (SELECT line_id, {key.format('text')} AS k FROM lines WHERE {simple.format('text')}),
+        "trigram_candidates_topk": f"""WITH {SQL}, k AS (SELECT page * 100000 + para_no AS qid, {key.format('text')} AS k FROM paras), l AS (SELECT line_id, {key.format('text')} AS k FROM lines),
             qg AS (SELECT qid, k[i:i+2] AS g FROM (SELECT qid, k, unnest(range(1, greatest(length(k) - 1, 1))) AS i FROM k) WHERE length(k) >= 3), lg AS (SELECT DISTINCT line_id, k[i:i+2] AS g FROM (SELECT line_id, k, unnest(range(1, greatest(length(k) - 1, 1))) AS i FROM l) WHERE length(k) >= 3),
             h AS (SELECT qid, line_id, count(*) AS hits FROM qg JOIN lg USING (g) GROUP BY ALL) SELECT qid, line_id, hits FROM h QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hits DESC, line_id) <= 5""",
         "units_conserved": f"""WITH r AS (SELECT 'w' || conv_id % 20 AS work, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w, text FROM conversations WHERE {style} = 'body')

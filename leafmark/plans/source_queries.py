@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import merging as G
 from ..operators import pdf_lines as P
 from ..operators import repair as R
@@ -23,8 +24,8 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    """The first words of a line as a recogniser's word table; one in nine has no confidence."""
-    rows = _lines(spark, sf).select("page", "para_no", F.posexplode(F.slice(F.split("text", " "), 1, 12)).alias("k", "text"))
+    """The words of a line as a recogniser's word table; one in nine has no confidence."""
+    rows = _lines(spark, sf).select("page", "para_no", F.posexplode(F.split("text", " ")).alias("k", "text"))
     return rows.selectExpr("page", "para_no % 3 AS block", "0 AS par", "para_no AS line", "k + 1 AS word", "100 + k * 60 AS left", "para_no * 40 + k % 2 AS top", "50 AS width", "30 AS height", "text", "CASE WHEN (k + para_no) % 9 = 0 THEN -1 ELSE 60 + (k * 7 + para_no) % 40 END AS conf")
 
 
@@ -33,8 +34,8 @@ def engine_words_to_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def engine_symbols_to_lines(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).where("para_no <= 3").select("page", "para_no", F.posexplode(F.split(F.expr("left(text, 30)"), "")).alias("k", "text"))
-    rows = rows.selectExpr("page", "para_no * 1000 + k AS seq", "text", "CASE WHEN k % 10 = 9 THEN 5 WHEN k % 4 = 3 THEN 1 ELSE 0 END AS brk", "k * 10 AS x0", "0 AS y0", "k * 10 + 9 AS x1", "30 AS y1")
+    rows = _lines(spark, sf).select("page", "para_no", F.posexplode(X.characters(F.col("text"))).alias("k", "text"))
+    rows = rows.selectExpr("page", "para_no * 1000000 + k AS seq", "text", "CASE WHEN k % 10 = 9 THEN 5 WHEN k % 4 = 3 THEN 1 ELSE 0 END AS brk", "k * 10 AS x0", "0 AS y0", "k * 10 + 9 AS x1", "30 AS y1")
     return E.lines_of_symbols(rows, ["page"]).select("page", "line", F.length("text").cast("long").alias("chars"), "x0", "x1")
 
 
@@ -61,7 +62,7 @@ def first_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kept_spans(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).where("work IN ('src1', 'src2')").selectExpr("work", "page", "para_no", "work || ':' || page || ':' || para_no AS text")
+    rows = _lines(spark, sf).selectExpr("work", "page", "para_no", "work || ':' || page || ':' || para_no AS text")
     ends = rows.groupBy("work").agg(F.min(F.struct("page", "para_no", "text")).alias("a"), F.max(F.struct("page", "para_no", "text")).alias("b"))
     spans = ends.select("work", F.lit(1).alias("k"), F.col("a.text").alias("start"), F.col("b.text").alias("stop"))
     return U.kept_spans(rows, spans).groupBy("work").agg(F.count("*").alias("n"))
@@ -75,7 +76,7 @@ def source_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def answer_check(spark: SparkSession, sf: str) -> DataFrame:
-    conv = table(spark, sf, "conversations").select("conv_id", "turn", F.expr("cast(conv_id AS string)").alias("id"), F.expr("CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN 'ਪੰਜਾਬੀ' WHEN 2 THEN '123' ELSE left(text, 40) END").alias("en"))
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", F.expr("cast(conv_id AS string)").alias("id"), F.expr("CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN 'ਪੰਜਾਬੀ' WHEN 2 THEN '123' ELSE text END").alias("en"))
     sent = F.struct(F.col("id").alias("id"), F.lit("s").alias("src"), F.lit(None).cast("array<struct<w:string,src:string>>").alias("pairs"))
     answer = F.struct(F.when(F.col("conv_id") % 6 == 0, "other").otherwise(F.col("id")).alias("id"), F.col("en").alias("en"), F.lit(None).cast("array<struct<w:string,en:string>>").alias("pairs"))
     return conv.select("conv_id", "turn", T.answer_fault(sent, answer).alias("fault"))
@@ -90,7 +91,7 @@ def gutter_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def footnotes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "'footnote' AS zone", "CASE WHEN para_no % 3 = 1 THEN '1. ' ELSE '' END || left(text, 20) AS text")
+    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "'footnote' AS zone", "CASE WHEN para_no % 3 = 1 THEN '1. ' ELSE '' END || text AS text")
     return G.footnotes(rows, ["page"])
 
 
@@ -105,7 +106,7 @@ def quote_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def headers(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "CASE WHEN para_no % 2 = 0 THEN 'header' ELSE 'body' END AS zone", "CASE WHEN para_no % 4 = 0 THEN para_no END AS ang_from", "CASE WHEN para_no > 2 THEN left(text, 10) END AS section")
+    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", "CASE WHEN para_no % 2 = 0 THEN 'header' ELSE 'body' END AS zone", "CASE WHEN para_no % 4 = 0 THEN para_no END AS ang_from", "CASE WHEN para_no > 2 THEN text END AS section")
     return G.header_of(rows, ["page"], ["ang_from", "section"])
 
 
@@ -116,12 +117,12 @@ def pages_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def furniture_heads(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).selectExpr("work AS book", "page", "para_no AS n", "CASE WHEN para_no = 1 AND page % 2 = 0 THEN 'NATURAL MEDITATION ' || page ELSE left(text, 90) END AS text")
+    rows = _lines(spark, sf).selectExpr("work AS book", "page", "para_no AS n", "CASE WHEN para_no = 1 AND page % 2 = 0 THEN 'NATURAL MEDITATION ' || page ELSE text END AS text")
     return P.furniture(rows)["heads"]
 
 
 def _runs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).where("para_no <= 30").select("page", "para_no", F.posexplode(F.slice(F.split("text", " "), 1, 8)).alias("k", "text")).where("text <> ''")
+    rows = _lines(spark, sf).select("page", "para_no", F.posexplode(F.split("text", " ")).alias("k", "text")).where("text <> ''")
     return rows.selectExpr("page", "cast(50 + k * 60 AS double) AS x", "cast(800 - para_no * 12 + k % 2 AS double) AS y", "10.0D AS size", "para_no % 5 = 0 AS italic", "text", "CASE WHEN para_no % 2 = 0 THEN 40.0D END AS width", "CASE WHEN para_no % 4 = 0 THEN 3.0D END AS space")
 
 
@@ -135,6 +136,7 @@ def pdf_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """The repair is one of English texts: its outside arbiter is an English vocabulary."""
     broken = _lines(spark, sf).where("lang = 'en'").selectExpr("page", "para_no", "regexp_replace(text, ' thr', ' t hr') AS text")
     english = R.author_words(_lines(spark, sf).where("lang = 'en'"), 20)
     return R.repair(broken, english, ["page", "para_no"]).groupBy("page").agg(F.sum("joins").alias("joins"))
@@ -160,7 +162,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    words = f"""{SQL}, w0 AS (SELECT page, para_no, unnest(string_split(text, ' ')[1:12]) AS text, generate_subscripts(string_split(text, ' ')[1:12], 1) - 1 AS k FROM paras),
+    words = f"""{SQL}, w0 AS (SELECT page, para_no, unnest(string_split(text, ' ')) AS text, generate_subscripts(string_split(text, ' '), 1) - 1 AS k FROM paras),
         w AS (SELECT page, para_no % 3 AS block, para_no AS line, k + 1 AS word, 100 + k * 60 AS "left", para_no * 40 + k % 2 AS top, text, CASE WHEN (k + para_no) % 9 = 0 THEN -1 ELSE 60 + (k * 7 + para_no) % 40 END AS conf FROM w0)"""
     return {
         "engine_words_to_lines": f"""WITH {words}, g AS (SELECT page, block, line, min("left") AS x0, min(top) AS y0, max("left" + 50) AS x1, max(top + 30) AS y1, string_agg(text, ' ' ORDER BY "left", word) AS text, avg(conf) / 100 AS conf FROM w WHERE trim(text) <> '' AND conf >= 0 GROUP BY ALL)
@@ -174,19 +176,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT line_id, source, md5(t) AS text FROM o UNION ALL SELECT line_id, source, md5(t) FROM r WHERE t <> ''""",
         "first_texts": """WITH r AS (SELECT doc_id % 300 AS line_id, lang AS source, min(doc_id::VARCHAR) AS text FROM documents GROUP BY ALL)
             SELECT line_id, arg_min(text, list_position(['de', 'fr', 'en'], source)) AS text FROM r WHERE source IN ('de', 'fr', 'en') GROUP BY line_id""",
-        "kept_spans": f"WITH {SQL} SELECT work, count(*) AS n FROM paras WHERE work IN ('src1', 'src2') GROUP BY work",
+        "kept_spans": f"WITH {SQL} SELECT work, count(*) AS n FROM paras GROUP BY work",
         "source_pieces": f"WITH {SQL} SELECT page, para_no, length(regexp_replace(replace(text, '. ', '॥'), '\\s', '', 'g')) AS chars, true AS fits FROM paras",
-        "answer_check": "SELECT conv_id, turn, CASE WHEN conv_id % 6 = 0 THEN 'another id' ELSE CASE turn % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'source script' WHEN 2 THEN 'no latin' ELSE CASE WHEN trim(left(text, 40)) = '' THEN 'empty' WHEN NOT regexp_matches(left(text, 40), '[A-Za-z]') THEN 'no latin' END END END AS fault FROM conversations",
+        "answer_check": "SELECT conv_id, turn, CASE WHEN conv_id % 6 = 0 THEN 'another id' ELSE CASE turn % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'source script' WHEN 2 THEN 'no latin' ELSE CASE WHEN trim(text) = '' THEN 'empty' WHEN NOT regexp_matches(text, '[A-Za-z]') THEN 'no latin' END END END AS fault FROM conversations",
         "gutter_split": f"""WITH {words}, g AS (SELECT page, line, max("left" + 50) AS x1, count(*) FILTER ("left" + 25 < 400) AS l, count(*) FILTER ("left" + 25 >= 400) AS r FROM w GROUP BY ALL),
             c AS (SELECT page, line % 4 <> 0 AND x1 > 420 AND l > 0 AND r > 0 AS cut FROM g) SELECT page, count(*) + count(*) FILTER (cut) AS lines, 2 * count(*) FILTER (cut) AS halves, count(*) + count(*) FILTER (cut) AS last FROM c GROUP BY page""",
-        "footnotes": f"""WITH {SQL}, l AS (SELECT page, para_no AS n, CASE WHEN para_no % 3 = 1 THEN '1. ' ELSE '' END || left(text, 20) AS text FROM paras),
+        "footnotes": f"""WITH {SQL}, l AS (SELECT page, para_no AS n, CASE WHEN para_no % 3 = 1 THEN '1. ' ELSE '' END || text AS text FROM paras),
             s AS (SELECT *, greatest(1, sum(regexp_matches(text, '^[0-9੦-੯]{{1,2}}[.)]?\\s')::INT) OVER (PARTITION BY page ORDER BY n))::BIGINT AS note FROM l) SELECT page, note, string_agg(text, ' ' ORDER BY n) AS text FROM s GROUP BY ALL""",
         "paragraph_labels": f"""WITH {SQL} SELECT page, para_no // 3 AS para, CASE WHEN bool_and(page % 3 = 0 OR para_no % 2 = 0) THEN 'quote' ELSE 'body' END AS style, bool_or((page + para_no) % 17 = 0) AS routed, min((page * 7 + para_no) % 100) AS agreement_pct FROM paras GROUP BY ALL""",
         "quote_meta": f"""WITH {SQL}, r AS (SELECT page, para_no AS n, para_no % 2 AS g, para_no % 5 AS a, para_no % 10 AS s FROM paras WHERE para_no % 3 > 0),
             g AS (SELECT page, g FROM (SELECT page, g, count(*) AS c, min(n) AS f FROM r GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY page ORDER BY c DESC, f) = 1),
             a AS (SELECT page, a FROM (SELECT page, a, count(*) AS c, min(n) AS f FROM r GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY page ORDER BY c DESC, f) = 1)
             SELECT r.page, string_agg(n::VARCHAR, ',' ORDER BY n) AS line_ids, any_value(g.g) AS verse_group, any_value(a.a) AS ang, min(s) AS score FROM r JOIN g ON g.page = r.page JOIN a ON a.page = r.page GROUP BY r.page""",
-        "headers": f"""WITH {SQL}, r AS (SELECT page, para_no AS n, CASE WHEN para_no % 4 = 0 THEN para_no END AS a, CASE WHEN para_no > 2 THEN left(text, 10) END AS s FROM paras WHERE para_no % 2 = 0) SELECT page, arg_min(a, n) FILTER (a IS NOT NULL) AS ang_from, arg_min(s, n) FILTER (s IS NOT NULL) AS section FROM r GROUP BY page""",
+        "headers": f"""WITH {SQL}, r AS (SELECT page, para_no AS n, CASE WHEN para_no % 4 = 0 THEN para_no END AS a, CASE WHEN para_no > 2 THEN text END AS s FROM paras WHERE para_no % 2 = 0) SELECT page, arg_min(a, n) FILTER (a IS NOT NULL) AS ang_from, arg_min(s, n) FILTER (s IS NOT NULL) AS section FROM r GROUP BY page""",
         "pages_upsert": "SELECT source AS book, doc_id AS page, CASE WHEN doc_id % 3 > 0 THEN 'new' ELSE 'old' END AS state FROM documents",
         "ledger_stream": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS engine, count(*) AS calls, sum(round_even(value * 100, 0)::BIGINT)::BIGINT AS cents FROM events GROUP BY ALL",
     }

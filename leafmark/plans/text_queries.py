@@ -49,7 +49,7 @@ def footnote_markers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def slugs(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf).select("page", "para_no", X.slug(F.substring("text", 1, 60)).alias("slug"))
+    return _lines(spark, sf).select("page", "para_no", X.slug(F.col("text")).alias("slug"))
 
 
 def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,19 +58,19 @@ def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stamps(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).select("page", "para_no", F.expr("CASE para_no % 5 WHEN 0 THEN 'Page ' || para_no || ' of 530' WHEN 1 THEN 'www.site.example' WHEN 2 THEN '- x - ! page 8 of 530' ELSE left(text, 50) END").alias("text"))
+    rows = _lines(spark, sf).select("page", "para_no", F.expr("CASE para_no % 5 WHEN 0 THEN 'Page ' || para_no || ' of 530' WHEN 1 THEN 'www.site.example' WHEN 2 THEN '- x - ! page 8 of 530' ELSE text END").alias("text"))
     return rows.select("page", "para_no", X.is_stamp(F.col("text")).alias("stamp"))
 
 
 def header_hints(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _lines(spark, sf).select("page", "para_no", F.expr("CASE para_no % 4 WHEN 0 THEN left(text, 20) || ' (' || page || ') ਪੰਨਾ ' || para_no || '-' || (para_no + page % 3 - 1) WHEN 1 THEN left(text, 30) || ' ' || page WHEN 2 THEN 'ਪੰਨਾ ੧੨' ELSE '' END").alias("text"))
+    rows = _lines(spark, sf).select("page", "para_no", F.expr("CASE para_no % 4 WHEN 0 THEN text || ' (' || page || ') ਪੰਨਾ ' || para_no || '-' || (para_no + page % 3 - 1) WHEN 1 THEN text || ' ' || page WHEN 2 THEN 'ਪੰਨਾ ੧੨' ELSE '' END").alias("text"))
     h = X.header_hints(F.col("text"))
     return rows.select("page", "para_no", *[h[k].alias(k) for k in ("ang_from", "ang_to", "book_page", "section")])
 
 
 def strip_html_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of engines that return HTML: plain text, cut into lines of equal height."""
-    pages = table(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<p>[^<]*(?:<br>[^<]*)*</p>"), F.lit(0))).alias("block"))
+    pages = table(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"(?s)<p(?:\s[^>]*)?>.*?</p>"), F.lit(0))).alias("block"))
     plain = pages.groupBy("page_id").agg(F.count("*").alias("blocks"), F.sum(F.length(X.plain_html(F.col("block")))).alias("chars"))
     return plain
 
@@ -187,13 +187,13 @@ def oracle_sql() -> dict[str, str]:
         "footnote_markers": f"""WITH {SQL}, w AS (SELECT DISTINCT unnest({_words('text')}) || (para_no % 130)::VARCHAR AS word FROM paras),
             m AS (SELECT word, regexp_extract(word, '{X.FOOTNOTE_MARK}', 1) AS h, regexp_extract(word, '{X.FOOTNOTE_MARK}', 2) AS t FROM w)
             SELECT word, CASE WHEN t <> '' AND regexp_matches(h, '[A-Za-z਀-੿]') THEN h ELSE word END AS bare, CASE WHEN t <> '' AND regexp_matches(h, '[A-Za-z਀-੿]') THEN t END AS marker FROM m""",
-        "slugs": f"WITH {SQL} SELECT page, para_no, regexp_replace(regexp_replace(lower(left(text, 60)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM paras",
+        "slugs": f"WITH {SQL} SELECT page, para_no, regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM paras",
         "sentence_split": f"""WITH t AS (SELECT doc_id, list_filter(string_split(regexp_replace(trim(regexp_replace(text, '{_S}+', ' ', 'g')), '([।॥.?!])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS s FROM documents)
             SELECT doc_id, len(s) AS n, s[1] AS first, s[-1] AS last FROM t""",
-        "stamps": f"""WITH {SQL}, t AS (SELECT page, para_no, CASE para_no % 5 WHEN 0 THEN 'Page ' || para_no || ' of 530' WHEN 1 THEN 'www.site.example' WHEN 2 THEN '- x - ! page 8 of 530' ELSE left(text, 50) END AS text FROM paras)
+        "stamps": f"""WITH {SQL}, t AS (SELECT page, para_no, CASE para_no % 5 WHEN 0 THEN 'Page ' || para_no || ' of 530' WHEN 1 THEN 'www.site.example' WHEN 2 THEN '- x - ! page 8 of 530' ELSE text END AS text FROM paras)
             SELECT page, para_no, regexp_matches(text, '{X.STAMP}') OR regexp_matches(text, '{X.STAMP_WORD}') OR (length(text) < 40 AND regexp_matches(text, '{X.STAMP_ANY}')) AS stamp FROM t""",
-        "header_hints": f"""WITH {SQL}, t AS (SELECT page, para_no, CASE para_no % 4 WHEN 0 THEN left(text, 20) || ' (' || page || ') ਪੰਨਾ ' || para_no || '-' || (para_no + page % 3 - 1) WHEN 1 THEN left(text, 30) || ' ' || page WHEN 2 THEN 'ਪੰਨਾ ੧੨' ELSE '' END AS text FROM paras), {_hints()}""",
-        "strip_html_blocks": """WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '<p>[^<]*(?:<br>[^<]*)*</p>')) AS block FROM pages)
+        "header_hints": f"""WITH {SQL}, t AS (SELECT page, para_no, CASE para_no % 4 WHEN 0 THEN text || ' (' || page || ') ਪੰਨਾ ' || para_no || '-' || (para_no + page % 3 - 1) WHEN 1 THEN text || ' ' || page WHEN 2 THEN 'ਪੰਨਾ ੧੨' ELSE '' END AS text FROM paras), {_hints()}""",
+        "strip_html_blocks": """WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<p(?:\\s[^>]*)?>.*?</p>')) AS block FROM pages)
             SELECT page_id, count(*) AS blocks, sum(length(replace(replace(replace(regexp_replace(regexp_replace(block, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')))::BIGINT AS chars FROM b GROUP BY page_id""",
         "split_blocks": """WITH l AS (SELECT doc_id, (doc_id % 50)::INT AS y0, list_filter(string_split(text, chr(10)), lambda s: trim(s) <> '') AS ls FROM documents),
             e AS (SELECT doc_id, y0, len(ls) AS k, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM l)

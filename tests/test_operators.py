@@ -124,6 +124,18 @@ def test_edit_scripts_turn_one_into_the_other(a, b):
     assert alignment.lcs(list(a), list(b)) == best
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab", max_size=14), st.text("ab", max_size=14))
+def test_halved_edit_scripts_cost_no_more(a, b):
+    old, alignment.CELLS = alignment.CELLS, 12
+    try:
+        ops = alignment.edit_ops(list(a), list(b))
+    finally:
+        alignment.CELLS = old
+    assert len(ops) == distance(a, b)
+    assert [i for _, i, _ in ops] == sorted(i for _, i, _ in ops)
+
+
 def _subsequences(a):
     out = {""}
     for x in a:
