@@ -104,6 +104,22 @@ def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return spans(~SPACE[buf], offsets)
 
 
+def characters(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the offsets of the documents in them."""
+    lead = (buf & 0xC0) != 0x80
+    if lead.all():
+        return buf.astype(np.uint32), offsets
+    at = np.flatnonzero(lead)
+    more = np.concatenate([buf, np.zeros(3, np.uint8)])
+    b0, b1, b2, b3 = (more[at + k].astype(np.uint32) for k in range(4))
+    low = np.uint32(0x3F)
+    two = (b0 & np.uint32(0x1F)) << np.uint32(6) | b1 & low
+    three = (b0 & np.uint32(0x0F)) << np.uint32(12) | (b1 & low) << np.uint32(6) | b2 & low
+    four = (b0 & np.uint32(0x07)) << np.uint32(18) | (b1 & low) << np.uint32(12) | (b2 & low) << np.uint32(6) | b3 & low
+    points = np.where(b0 < 0x80, b0, np.where(b0 < 0xE0, two, np.where(b0 < 0xF0, three, four)))
+    return points, np.concatenate([[0], np.cumsum(lead)])[offsets]
+
+
 def runs(values: np.ndarray, size: int, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every run of ``size`` neighbouring values of one document, and the index of each run's first value."""
     m = len(values) - size + 1

@@ -48,16 +48,18 @@ def _word_buckets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return bucket, doc
 
 
-def _gram_buckets(buf: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the byte n-grams, and where one lies in one document without white space inside; it may begin or end with one."""
-    m = len(buf) - size + 1
+def _gram_buckets(points: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams (code points, so no character is cut), and where one lies in one document without white
+    space inside; it may begin or end with one."""
+    m = len(points) - size + 1
     if m <= 0:
         return np.zeros(0, np.int32), np.zeros(0, bool)
     x = np.full(m, 0x9747B28C + size, np.uint32)
-    space = B.SPACE[buf]
+    space = (points == 32) | ((points >= 9) & (points <= 13))
+    flat = np.where(space, np.uint32(32), points)
     with np.errstate(over="ignore"):
         for k in range(size):
-            x = (x ^ np.where(space[k : m + k], np.uint8(32), buf[k : m + k])) * np.uint32(0x01000193)
+            x = (x ^ flat[k : m + k]) * np.uint32(0x01000193)
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x2C1B3C6D)
         x ^= x >> np.uint32(13)
@@ -83,15 +85,16 @@ def score_chunk(model: Model, buf: np.ndarray, offsets: np.ndarray) -> np.ndarra
     bucket, doc = _word_buckets(buf, offsets)
     z = model.bias + _means(model.word[bucket], doc, docs)
     total, number = np.zeros(docs), np.zeros(docs)
-    edges = np.minimum(offsets[:-1], max(len(buf) - 1, 0))
-    some = np.flatnonzero(np.diff(offsets) > 0)
+    points, at = B.characters(buf, offsets)
+    some = np.flatnonzero(np.diff(at) > 0)
+    edges = at[:-1]
     for size in NGRAMS:
-        gram, good = _gram_buckets(buf, offsets, size)
+        gram, good = _gram_buckets(points, at, size)
         if not len(gram):
             continue
-        value = np.zeros(len(buf), np.float32)
+        value = np.zeros(len(points), np.float32)
         value[: len(gram)] = np.where(good, model.gram[gram], np.float32(0))
-        there = np.zeros(len(buf), np.int32)
+        there = np.zeros(len(points), np.int32)
         there[: len(good)] = good
         if len(some):
             total[some] += np.add.reduceat(value, edges[some], dtype=np.float64)
@@ -109,11 +112,12 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> Model:
     examples: list[tuple] = []
     for _, _, buf, offsets in B.chunks(texts):
         bucket, doc = _word_buckets(buf, offsets)
-        grams = [(g, ok) for g, ok in (_gram_buckets(buf, offsets, n) for n in NGRAMS)]
+        points, at = B.characters(buf, offsets)
+        grams = [_gram_buckets(points, at, n) for n in NGRAMS]
         for i in range(len(offsets) - 1):
             lo, hi = np.searchsorted(doc, (i, i + 1))
             w, wn = np.unique(bucket[lo:hi], return_counts=True)
-            g = np.concatenate([g[offsets[i] : offsets[i + 1]][ok[offsets[i] : offsets[i + 1]]] for g, ok in grams])
+            g = np.concatenate([g[at[i] : at[i + 1]][ok[at[i] : at[i + 1]]] for g, ok in grams])
             g, gn = np.unique(g, return_counts=True)
             examples.append((w, (wn / max(wn.sum(), 1)).astype(np.float32), g, (gn / max(gn.sum(), 1)).astype(np.float32)))
     random = np.random.default_rng(seed)
@@ -173,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def scores(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """doc_id, score (probability of label 1), predicted (1 where score >= ``threshold``) for each row of ``docs``.
 
-    A null or empty text has the score of the bias alone.  Only ``doc_id`` (passed through) and ``text`` are read.
+    A null or empty text has the score of the bias alone.  Only ``doc_id`` (passed through) and ``text`` are read.  Repeated
+    rows each have a row; a score of exactly ``threshold`` is 1; long texts are read whole; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -187,7 +192,10 @@ def scores(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects, all columns kept; the rows do not move."""
+    """``docs`` without the rows that the classifier rejects (score under ``threshold``), all columns kept; rows do not move.
+
+    Rows are judged one by one: repeated ids, null ids and null texts (the bias alone) are rows like others.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
     at = schema.fieldNames().index("text")
