@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words that a worker's cache holds, in each of two generations.
-CACHE = 200_000
+#: Words that a worker's cache holds, in each of two generations; longer words (characters) are never held, so its bytes are bounded.
+CACHE, LONGEST = 200_000, 64
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -199,13 +199,20 @@ class Codec:
         missing = [w for w in new if w not in own]
         for i in range(0, len(missing), 20_000):
             own |= self._learn(missing[i : i + 20_000])
-        if len(young) + len(own) > CACHE:
+        kept = {w: g for w, g in own.items() if len(w) <= LONGEST}
+        if len(young) + len(kept) > CACHE:
             self.old, self.young = young, {}
-        self.young.update(own)
+        self.young.update(kept)
         for i in at:
             got[i] = own[words[i]]
         return got
 
+    def ids(self, text: str | None) -> np.ndarray:
+        """Ids alone, without an end id."""
+        if (words := self._fast(text or "")) is not None:
+            return np.frombuffer(b"".join([g[0] for g in self._entries(words)]), "<i4")
+        return self.encode(text)[0]
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids without an end id, and the start and end bytes of each piece in the UTF-8 of ``text``."""
         text = text or ""
@@ -307,7 +314,8 @@ def decoded(rows: DataFrame, proto: bytes) -> DataFrame:
 def digested(docs: DataFrame, proto: bytes) -> DataFrame:
     """doc_id, n_tokens (with the end id), ids_sha256, decoded_sha256, spans_tile for each row of ``docs``.
 
-    Digests are made where the pieces are, so pieces never leave the worker.  A null text is an empty one.
+    Digests are made where the pieces are, so pieces never leave the worker.  A null text is an empty one; repeated rows each
+    have a row; long texts are encoded whole; an empty table gives an empty result.
     """
 
     def make(own: Codec, texts: list) -> list[pa.Array]:
