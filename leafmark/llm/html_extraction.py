@@ -26,12 +26,14 @@ from . import scratch
 #: Wrappers of all hosts together are broadcast up to this many bytes.
 BROADCAST = 32 << 20
 _SALTS = 32
+#: Groups of tasks whose wrappers of a host are merged before they meet.
+_FAN = 256
 #: Hosts that a task holds before it sends what it has.
 _HOSTS = 2000
 
 # Elements whose content is no text, elements that flow inside a text, elements without content.
-_HIDDEN = {"script", "style", "noscript", "template", "svg", "math", "head", "title", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "option", "button", "datalist"}
-_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "nobr", "output", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+_HIDDEN = {"script", "style", "noscript", "template", "svg", "head", "title", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "option", "button", "datalist", "annotation", "annotation-xml"}
+_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "nobr", "output", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "math", "semantics", "mi", "mn", "mo", "ms", "mrow", "mtext", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mtable", "mtr", "mtd", "mstyle", "mspace"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe"}
 _END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in _RAW}
@@ -46,9 +48,11 @@ _AROUND = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fields
 _MAIN = {"article", "main"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "dialog", "alert", "alertdialog"}
 _NAMED = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|notification|alert|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|header|comments?|commentlist|discussion|disqus|respond|replies|reply|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search\w*|widget|popup|modal|overlay|copyright|skip|pagination|pager|toolbar|tags|byline-links)(?:$|[^a-z])")
+#: Names that tell furniture even inside an article: whole words of a class or id, with what such words are joined to.
+_HARD = re.compile(r"(?:^|[\s#.@])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|cookie-bar|consent|gdpr|nav\w*|menu|breadcrumbs?|sidebar|comments?|commentlist|disqus|respond|replies|share|sharing|social|newsletter|subscribe|signup|pagination|pager|toolbar|popup|modal|overlay|(?:related|recommended)(?:-(?:posts?|articles?|links?|stories|content|news|items?|reading))?)(?:[-_](?:box|block|bar|banner|section|list|area|container|wrapper|wrap|inner|widget|form|buttons?|links?|slot|unit|top|bottom|left|right))*(?=$|[\s#@])")
 _BODY = re.compile(r"(?:^|[^a-z])(?:article|content|main|post|entry|story|maincontent|articlebody|bodytext)(?:$|[^a-z])")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]+|\"[^\"]*\"|'[^']*'|[\"'])*+)(>|\Z)|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^=>]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
 
@@ -247,35 +251,47 @@ def _around(key: str, named: bool = True) -> bool:
     return role in _ROLES or named and bool(_NAMED.search(names)) and tag not in _MAIN
 
 
+#: Pages of a host that must agree on a string before it counts as the template's.
+FIXED = 5
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+
 def labelled(wrapper: Item) -> Item:
-    """Sets ``main`` on every text slot, bit k for reading at level k, and the host's level on the root: inside article or main (else a container named for content, else anywhere),
+    """Sets ``main`` on every text slot, bit k for reading at level k, and the host's level on the root: inside article or main
+    (else a container named for content, else anywhere), outside menus, headers, footers, sidebars, notices, adverts, forms and
+    comments.
 
-    outside menus, headers, footers, sidebars, notices, adverts, forms and comments.  Without a container, slots that are mostly
-    links, and strings fixed over five pages or more where other slots vary, are not main text either.
+    How a slot behaves over the host's pages comes first: a string fixed over FIXED pages or more where other slots vary is the
+    template's, wherever it stands (headings inside an article excepted).  Names come second, and inside an article only hard
+    ones, or soft ones (alert, notice, header ...) on fixed strings.  Without a container, slots that are mostly links go too.
     """
-    slots: list[tuple[Item, bool, int]] = []
+    slots: list[tuple[Item, bool, int, bool]] = []
 
-    def walk(item: Item, by_tag: bool, by_name: bool, inside: int, names: bool) -> None:
+    def walk(item: Item, by_tag: bool, by_name: bool, soft: bool, inside: int, names: bool, heading: bool) -> None:
         for x in item.children:
             if x.key is None:
-                slots.append((x, by_tag or by_name, inside))
+                slots.append((x, by_tag or by_name or soft and x.text is not None and x.pages >= 3, inside, heading))
                 continue
             tag, _, rest = x.key.partition(".")
             main = tag in _MAIN or rest.endswith("@main") or rest.endswith("@article")
             body = bool(rest) and bool(_BODY.search(rest.partition("@")[0]))
+            around = by_tag or _around(x.key, False) and not (inside == 2 and tag == "address")
+            named = names and bool(rest) and tag not in _MAIN and tag not in ("body", "html") and bool(_NAMED.search(rest.partition("@")[0]))
+            hard = named and (inside < 2 or bool(_HARD.search(rest.partition("@")[0])))
             # what wraps a whole article may be named after what it lacks ("no-sidebar")
-            walk(x, by_tag or _around(x.key, False), False if main else by_name or names and _around(x.key), max(inside, 2 if main else 1 if body else 0), names)
+            walk(x, around, False if main else by_name or hard, False if main else soft or named and not hard, max(inside, 2 if main else 1 if body else 0), names, heading or tag in _HEADINGS)
 
-    walk(wrapper, False, False, 0, True)
-    if slots and all(around for _, around, _ in slots):  # names leave nothing: tags alone decide
+    walk(wrapper, False, False, False, 0, True, False)
+    if slots and all(around for _, around, _, _ in slots):  # names leave nothing: tags alone decide
         slots.clear()
-        walk(wrapper, False, False, 0, False)
-    mass = [sum(x.chars for x, around, k in slots if not around and k >= level) for level in (0, 1, 2)]
+        walk(wrapper, False, False, False, 0, False, False)
+    mass = [sum(x.chars for x, around, k, _ in slots if not around and k >= level) for level in (0, 1, 2)]
     level = 2 if mass[2] > 0 else 1 if mass[1] >= 0.5 * mass[0] > 0 else 0
-    varied = any(x.text is None for x, around, _ in slots if not around)
-    for x, around, k in slots:
-        plain = x.links <= 0.5 * x.chars and not (x.text is not None and x.pages >= 5 and varied)
-        x.main = 0 if around else sum(1 << at for at in range(k + 1) if at or plain)
+    varied = [any(x.text is None for x, around, k, _ in slots if not around and k >= at) for at in (0, 1, 2)]
+    for x, around, k, heading in slots:
+        fixed = x.text is not None and x.pages >= FIXED
+        fits = [at for at in range(k + 1) if not (fixed and varied[at] and not (at and heading))]
+        x.main = 0 if around else sum(1 << at for at in fits if at or x.links <= 0.5 * x.chars)
     wrapper.main = level
     return wrapper
 
@@ -295,7 +311,7 @@ def _read_at(page: Item, wrapper: Item, level: int) -> list[str]:
     out: list[str] = []
     filled = False
 
-    def walk(items: list[Item], slots: list[Item], main: bool) -> None:
+    def walk(items: list[Item], slots: list[Item], main: bool, inside: bool) -> None:
         nonlocal filled
         at = 0
         for x in items:
@@ -312,11 +328,14 @@ def _read_at(page: Item, wrapper: Item, level: int) -> list[str]:
                 if slot is not None and not slot.many:
                     at = found + 1
             else:
-                walk(x.children, slot.children if slot is not None else [], main and not _around(x.key))
+                inner = inside or x.key.partition(".")[0] in _MAIN
+                tag, _, rest = x.key.partition(".")
+                open_ = tag == "address" or not (_around(x.key, False) or rest and _HARD.search(rest.partition("@")[0])) if inside else not _around(x.key)
+                walk(x.children, slot.children if slot is not None else [], main and bool(open_), inner)
                 if slot is not None and not slot.many:
                     at = found + 1
 
-    walk(page.children, wrapper.children, True)
+    walk(page.children, wrapper.children, True, False)
     return out if filled or not level else []
 
 
@@ -353,12 +372,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
         import pandas as pd
 
         own = None
-        for blob in rows["wrapper"]:
+        for blob in sorted(rows["wrapper"]):  # the same order whatever arrives first
             own = pickle.loads(blob) if own is None else merged(own, pickle.loads(blob))
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [pickle.dumps(labelled(own))]})
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [pickle.dumps(own)]})
 
-    partial = pages.select("host", "html").mapInArrow(_infer, "host string, wrapper binary")
-    return partial.groupBy("host").applyInPandas(fold, "host string, wrapper binary")
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [pickle.dumps(labelled(pickle.loads(blob))) for blob in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.binary())], ["host", "wrapper"])
+
+    # a tree of merges: tasks, then groups of tasks, then hosts, so no host brings all its tasks to one
+    schema = "host string, wrapper binary"
+    partial = pages.select("host", "html").mapInArrow(_infer, schema).withColumn("salt", F.spark_partition_id() % _FAN)
+    some = partial.groupBy("host", "salt").applyInPandas(fold, schema)
+    return some.groupBy("host").applyInPandas(fold, schema).mapInArrow(label, schema)
 
 
 def _text(page: str | None, wrapper: Item | None) -> str:
