@@ -19,6 +19,12 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return str(public_tokenizers.path(name))
 
 
+def byte_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -30,7 +36,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility_rules.rules(read(spark, sf_dir, "documents"), sentencepiece_codec.read_model(spark, tokenizer_path()))
+    pieces, ranks = (sentencepiece_codec.read_model(spark, tokenizer_path(name)) for name in ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"))
+    return fertility_rules.rules(read(spark, sf_dir, "documents"), pieces, ranks, byte_pattern())
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from leafmark.llm import fertility_rules, html_extraction, license_scan, mixing, quality_classifier, sentencepiece_codec, sharding
-from leafmark.llm.queries import tokenizer_path
+from leafmark.llm.queries import byte_pattern, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
@@ -28,6 +28,11 @@ def proto(spark):
     return sentencepiece_codec.read_model(spark, tokenizer_path())
 
 
+@pytest.fixture(scope="module")
+def both(spark, proto):
+    return proto, sentencepiece_codec.read_model(spark, tokenizer_path("byte_bpe_multi_50k.tiktoken")), byte_pattern()
+
+
 def test_classifier_holds_out(spark, odd):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = quality_classifier.fit(docs, labels)
@@ -44,6 +49,41 @@ def test_classifier_holds_out(spark, odd):
     assert quality_classifier.fit(docs, labels.limit(0)).bias == 0
 
 
+def test_scores_equal_a_plain_softmax():
+    import numpy as np
+    import pyarrow as pa
+
+    from leafmark.llm import bytetext as B
+
+    texts = ["", "a good plain text about rivers and hills", "naïve café 中文字 déjà vu 😀 ok", "spam spam spam  spam!!\n\tspam", "x"]
+    model = quality_classifier.train(pa.array(texts * 3), np.array([1, 1, 1, 0, 0] * 3))
+
+    def gram(text, size):
+        out = []
+        for i in range(len(text) - size + 1):
+            g = [32 if c in " \t\n\v\f\r" else ord(c) for c in text[i : i + size]]
+            if 32 in g[1:-1] or g[0] == g[-1] == 32:
+                continue
+            x = 0x9747B28C + size
+            for c in g:
+                x = ((x ^ c) * 0x01000193) & 0xFFFFFFFF
+            x ^= x >> 15
+            x = (x * 0x2C1B3C6D) & 0xFFFFFFFF
+            out.append((x ^ x >> 13) % quality_classifier.BUCKETS)
+        return out
+
+    for _, _, buf, offsets in B.chunks(pa.array(texts)):
+        got = quality_classifier.score_chunk(model, buf, offsets)
+        for i, t in enumerate(texts):
+            one = np.frombuffer(t.encode(), np.uint8)
+            words, _ = quality_classifier._word_buckets(one, np.array([0, len(one)]))
+            grams = gram(t, 2) + gram(t, 3)
+            z = model.bias + (model.word[words].mean() if len(words) else 0) + (model.gram[grams].mean() if grams else 0)
+            assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-5
+    points, at = B.characters(np.frombuffer("aé中😀b".encode(), np.uint8), np.array([0, 3, 11]))
+    assert points.tolist() == [97, 0xE9, 0x4E2D, 0x1F600, 98] and at.tolist() == [0, 2, 5]
+
+
 def base(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     lines, dup, seen = (t or "").split("\n"), 0, set()
@@ -56,25 +96,61 @@ def base(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(hit)
 
 
-def test_rules_count_as_brute_force(spark, odd, proto):
+def test_rules_count_as_brute_force(spark, odd, both):
     rng = random.Random(2)
     texts = ["".join(rng.choice(["a", "b ", "\n", "é", "#", "\t", "ab ab ", "x y z w v u t s r "]) for _ in range(rng.randint(0, 200))) for _ in range(200)]
     rows = [(i, t) for i, t in enumerate(texts)]
-    got = fertility_rules.rules(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], KIND), proto).collect()
+    got = fertility_rules.rules(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], KIND), *both).collect()
     for r in got:
         want = base(texts[r.doc_id])
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r.base_failed and r.kept)
-    got = fertility_rules.rules(odd, proto).collect()
+    got = fertility_rules.rules(odd, *both).collect()
     assert len(got) == len(ODD) and not any(r.kept for r in got if r.n_words < 20)
 
 
-def test_rules_part_good_from_bad(spark, proto):
-    rows = fertility_rules.rules(spark.read.parquet(f"{SF}/documents.parquet"), proto).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("n_words >= 20").collect()
+def test_rules_part_good_from_bad(spark, both):
+    rows = fertility_rules.rules(spark.read.parquet(f"{SF}/documents.parquet"), *both).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("n_words >= 20").collect()
     good, bad = [r for r in rows if r.quality], [r for r in rows if not r.quality]
     assert sum(r.kept for r in good) >= 0.97 * len(good) and sum(r.kept for r in bad) <= 0.1 * len(bad)
 
 
+def test_measures_equal_the_libraries(spark, both):
+    import math
+
+    import sentencepiece
+    import tiktoken
+
+    other = fertility_rules.ByteVocabulary(*both[1:])
+    sp = sentencepiece.SentencePieceProcessor(model_proto=both[0])
+    assert isinstance(other.encoding, tiktoken.Encoding) and other.count("x" * 9000) > 0
+    rows = [r for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 9 = 0").collect() if r.text.split()]
+    got = {r.doc_id: r for r in fertility_rules.rules(spark.createDataFrame(rows), *both).collect()}
+    for r in rows:
+        ids, m = sp.encode(r.text), got[r.doc_id]
+        counts = Counter(ids)
+        h = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values())
+        assert m.n_tokens == len(ids) and abs(m.tokens_per_word - len(ids) / m.n_words) < 1e-9 and abs(m.chars_per_token - len(r.text) / len(ids)) < 1e-9
+        assert abs(m.byte_share - sum(sp.is_byte(i) for i in ids) / len(ids)) < 1e-9 and abs(m.min_entropy + math.log2(max(counts.values()) / len(ids))) < 1e-9
+        assert abs(m.entropy_share - h / max(1.0, math.log2(min(3000, len(ids))))) < 1e-9
+        assert abs(m.other_chars - len(r.text) / len(other.encoding.encode_ordinary(r.text))) < 1e-9
+
+
+def test_rules_know_scripts(spark, both):
+    texts = {
+        "greek": "Η κυβέρνηση ανακοίνωσε σήμερα νέα μέτρα για την οικονομία, ενώ η αντιπολίτευση ζητά πρόωρες εκλογές. Οι πολίτες περιμένουν με αγωνία τις επόμενες ημέρες, καθώς οι τιμές στα καταστήματα ανεβαίνουν συνεχώς.",
+        "arabic": "أعلنت الحكومة اليوم عن إجراءات جديدة لدعم الاقتصاد بينما طالبت المعارضة بإجراء انتخابات مبكرة في البلاد. وقال رئيس الوزراء إن الأسعار سوف تنخفض قريبا وإن المدارس ستفتح أبوابها في الشهر القادم.",
+        "cyrillic": "Правительство объявило сегодня о новых мерах по поддержке экономики, а оппозиция требует досрочных выборов. Министр сказал, что цены в магазинах скоро снизятся, и школы откроются в следующем месяце как обычно.",
+        "hebrew": "הממשלה הודיעה היום על צעדים חדשים לתמיכה בכלכלה ואילו האופוזיציה דורשת בחירות מוקדמות. ראש הממשלה אמר כי המחירים בחנויות ירדו בקרוב וכי בתי הספר ייפתחו בחודש הבא כרגיל.",
+        "latin": "Il governo ha annunciato oggi nuove misure per sostenere la crescita del paese, mentre chi sta dall'altra parte chiede di votare prima. Il ministro ha detto che presto i prezzi nei negozi scenderanno e le scuole apriranno.",
+        "indic": "सरकार ने आज अर्थव्यवस्था के लिए नए उपायों की घोषणा की जबकि विपक्ष ने जल्दी चुनाव की मांग की। मंत्री ने कहा कि दुकानों में दाम जल्द कम होंगे और स्कूल अगले महीने खुलेंगे।",
+    }
+    assert {k: fertility_rules.script_of(t) for k, t in texts.items()} == {k: k for k in texts} and fertility_rules.script_of("12 !") == "other"
+    rows = [(i, t, None, "s", 0) for i, t in enumerate(texts.values())] + [(90, "qzx " + "x9Q#zK7 vB@3pL kk8!wR2 " * 1 + " ".join(f"Zq{k}xX9vW{k * 7}kJ" for k in range(40)), None, "s", 0)]
+    got = {r.doc_id: r.kept for r in fertility_rules.rules(spark.createDataFrame(rows, KIND), *both).collect()}
+    assert got == {i: True for i in range(len(texts))} | {90: False}
+
+
 PAGE = """<html><head><title>T</title><style>p{{}}</style><script>if (a < b) "</p>"</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li><li>About</li></ul></nav>
 <div class="notice cookie-bar">We use cookies</div>{0}<aside class="sidebar">See also</aside><div id="comments"><p>nice post</p></div><form><input value=x> Search</form><footer>&copy; me</footer></body></html>"""
 
@@ -102,6 +178,30 @@ def test_raw_and_unclosed_elements_end():
         assert html_extraction._text(start + rest, None) == "one text\n\ntwo", start
 
 
+def test_markup_inside_articles():
+    text = lambda body: html_extraction._text(f"<html><body><nav>menu</nav><article>{body}</article></body></html>", None)
+    assert text("<p title=don't>first</p><p>mid</p><p title=won't>more</p>") == "first\n\nmid\n\nmore"
+    assert text("<p data-x='a>b' title = \"c>d\">one</p>") == "one"
+    assert text("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be</p>") == "let x=2 be"
+    assert text('<p>one</p><div class="related-work">two</div><div id="alert">three</div><address>four</address>') == "one\n\ntwo\n\nthree\n\nfour"
+    assert text('<p>one</p><div class="ad">x</div><div class="ad-slot top">x</div><div id="comments"><p>x</p></div><div class="related-posts">x</div><div class="share buttons">x</div><aside>x</aside>') == "one"
+
+
+def test_the_host_decides():
+    page = "<html><body><div><h4>Company page</h4><div>{}</div><div>{}</div><h5>Terms apply to all of this</h5></div></body></html>"
+    article = "<html><body><article><h1>Report</h1><p>{}</p><div>Reprint only with leave</div></article></body></html>"
+    for form, alone, shared in ((page, "Company page\n\n{0}\n\n{0} on\n\nTerms apply to all of this", "{0}\n\n{0} on"), (article, "Report\n\n{0}\n\nReprint only with leave", "Report\n\n{0}")):
+        pages = [form.format(f"words of page {k}", f"words of page {k} on") for k in range(6)]
+        own = None
+        for x in pages:
+            tree = html_extraction.wrapper_of(html_extraction.parse(x))
+            own = html_extraction.merged(own, tree) if own else tree
+        own = html_extraction.labelled(own)
+        for k, x in enumerate(pages):
+            assert html_extraction._text(x, None) == alone.format(f"words of page {k}")
+            assert html_extraction._text(x, own) == shared.format(f"words of page {k}")
+
+
 def test_pages_of_a_host_with_several_templates():
     page = "<html><body><nav><a href=/>Home</a></nav>{}<footer>me</footer></body></html>"
     kinds = ["<article><p>{}</p></article>", "<div class=content><p>{}</p></div>", "<div><p>{}</p></div>"]
@@ -168,6 +268,12 @@ def test_codec_equals_the_library(spark, odd, proto):
     rows = sentencepiece_codec.digested(odd, proto).collect()
     assert len(rows) == len(ODD) and all(r.spans_tile for r in rows)
     assert all(r.n_tokens == len(sp.encode(dict(ODD)[r.doc_id] or "", add_eos=True)) for r in rows)
+    import hashlib
+
+    for r in rows:
+        ids = sp.encode(dict(ODD)[r.doc_id] or "", add_eos=True)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
     back = sentencepiece_codec.decoded(sentencepiece_codec.encoded(odd, proto), proto).collect()
     assert sorted((r.doc_id or -1, r.text) for r in back) == sorted((i or -1, (t or "").replace("▁", " ")) for i, t in ODD)  # the mark itself decodes to a space
     assert sentencepiece_codec.digested(odd.limit(0), proto).count() == 0
