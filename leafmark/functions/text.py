@@ -41,6 +41,8 @@ PAGES_WORD = "ਪੰਨਾ"
 DIGITS = "0-9੦-੯"
 PAGE_NUMBER = rf"^[\s(){DIGITS}।]+$"
 FOOTNOTE_START = rf"^[{DIGITS}]{{1,2}}[.)]?\s"
+STANZA_END = r"॥\s*[੦-੯]+(?:\s*॥\s*[੦-੯]+)*\s*॥\s*$"
+TITLE_LINE = r"^\s*[੦-੯0-9]+\s*[:.]\s*\S"
 FOOTNOTE_MARK = rf"^(.{{2,}}?[^{DIGITS}])([{DIGITS}]{{1,2}})$"
 # -------------------------------------------------------------------------------------------------------------------------
 
@@ -103,6 +105,11 @@ def footnote_marker(word: Column) -> Column:
     return F.struct(F.when(good, head).otherwise(word).alias("word"), F.when(good, tail).alias("marker"))
 
 
+def is_stanza_end(c: Column) -> Column:
+    """Whether a verse line ends with its stanza's number."""
+    return F.coalesce(c, F.lit("")).rlike(STANZA_END)
+
+
 def sentences(c: Column) -> Column:
     return F.filter(F.split(squeezed(c), SENTENCE_END), lambda s: s != "")
 

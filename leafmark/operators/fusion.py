@@ -91,6 +91,13 @@ def positional_vote(lines: DataFrame) -> DataFrame:
     return rows.withColumn("agreement", F.when(F.col("voters") > 1, F.bround(F.col("same") / F.col("columns"), 3))).drop("readings")
 
 
+def stamped(readings: DataFrame, line: list[str]) -> DataFrame:
+    """Lines that some engine read as a stamp: one that read it plainly settles it for those that did not."""
+    from ..functions.text import is_stamp
+
+    return readings.where(is_stamp(F.col("text"))).select(*line).distinct()
+
+
 def kind_of(bold: Column, matched: Column, text: Column) -> Column:
     few = F.size(F.split(F.trim(text), " +")) <= 6
     verse = text.contains("॥")

@@ -20,3 +20,18 @@ def remaining(todo: DataFrame, done: DataFrame, key: str, done_key: str) -> Data
     """Rows whose key is not done; a chunk suffix '#c<n>' of a done id is ignored."""
     finished = done.select(F.regexp_replace(F.col(done_key), "#c[0-9]+$", "").alias(key)).distinct()
     return todo.join(finished, key, "left_anti")
+
+
+def selected_pages(pages: DataFrame, wanted: DataFrame | None = None, only: list[DataFrame] | None = None, done: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """Pages (book, page) an engine has to read: those ``wanted``, in every table of ``only`` (pages with verified lines, routed
+    pages), not ``done``; the first ``most`` of each book where a run is limited."""
+    from pyspark.sql.window import Window
+
+    for keep in [wanted, *(only or [])]:
+        if keep is not None:
+            pages = pages.join(keep.select("book", "page").distinct(), ["book", "page"], "left_semi")
+    if done is not None:
+        pages = pages.join(done.select("book", "page").distinct(), ["book", "page"], "left_anti")
+    if most is None:
+        return pages
+    return pages.withColumn("r", F.row_number().over(Window.partitionBy("book").orderBy("page"))).where(F.col("r") <= most).drop("r")

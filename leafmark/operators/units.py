@@ -78,7 +78,10 @@ def build_units(records: DataFrame, target: int = 60, hard: int = 220) -> DataFr
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         build = _Builder(target, hard)
-        rows = rows.sort_values(["part", "page", "para_no"], na_position="first", kind="stable")
+        # parts in the order of their numbers (2 before 10; none first), named ones after them
+        number = pd.to_numeric(rows["part"], errors="coerce")
+        rank = number.where(rows["part"].notna(), float("-inf")).fillna(float("inf"))
+        rows = rows.assign(_rank=rank).sort_values(["_rank", "part", "page", "para_no"], na_position="first", kind="stable").drop(columns="_rank")
         for r in rows.itertuples():
             cites = list(r.cites) if r.cites is not None else []
             build.quote(cites) if r.style == "quote" else build.prose(r, cites)

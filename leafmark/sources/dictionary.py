@@ -38,9 +38,10 @@ def texts(lines: DataFrame, translations: DataFrame, wanted: list[str]) -> DataF
     """
     own = lines.select("line_id", F.lit("own").alias("source"), F.coalesce(F.nullif(clean_gurmukhi(F.col("text")), F.lit("")), squeezed(F.col("text"))).alias("text"))
     other = translations.where(F.col("translator").isin(wanted)).select("line_id", F.col("translator").alias("source"), squeezed(F.col("text")).alias("text")).where("text <> ''")
-    there = {r[0] for r in translations.select("translator").distinct().limit(1000).collect()}
-    if missing := set(wanted) - {"own"} - there:
-        raise ValueError(f"no lines by {', '.join(sorted(missing))}; known: {', '.join(sorted(there))}")
+    asked = translations.where(F.col("translator").isin(wanted))  # no more names than were asked for reach the driver
+    if missing := set(wanted) - {"own"} - {r[0] for r in asked.select("translator").distinct().collect()}:
+        names = translations.select("translator").distinct().orderBy("translator").take(50)  # of the error's text only
+        raise ValueError(f"no lines by {', '.join(sorted(missing))}; known: {', '.join(str(r[0]) for r in names)}")
     return (own if "own" in wanted else own.limit(0)).unionByName(other)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +46,36 @@ SQL = """
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Rows of a JSON-lines file; blank lines, broken JSON and ``_meta`` header lines are passed over; no file, no rows."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not found(spark, path):
+        return spark.createDataFrame([], struct)
     raw = spark.read.text(path).where(F.trim("value") != "")
     parsed = raw.select(F.from_json("value", struct, {"mode": "PERMISSIVE"}).alias("r"), F.get_json_object("value", "$._meta").alias("meta"), F.expr("try_parse_json(value)").alias("v"))
     return parsed.where("v is not null AND meta is null AND r is not null").select("r.*")
 
 
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """Files that a path or a glob names, in order, by any file system that Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().toString() for s in status or [])
+
+
+#: What lies beside the works in their folder: citations, units (one file a language), English translations.
+_BESIDE = re.compile(r"(^|/)(citations\.jsonl|units[^/]*|[^/]*\.en\.jsonl)$")
+
+
+def read_works(spark: SparkSession, folder: str, meta: str, record: str, work: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The works of a folder: their ``_meta`` headers (file and fields) and their records (file and fields)."""
+    files = [f for f in found(spark, f"{folder}/*.jsonl") if not _BESIDE.search(f) and (work is None or f.endswith(f"/{work}.jsonl"))]
+    kind, struct = T.StructType.fromDDL(meta), T.StructType.fromDDL(record)
+    if not files:
+        name = T.StructType([T.StructField("file", T.StringType())])
+        return spark.createDataFrame([], T.StructType(name.fields + kind.fields)), spark.createDataFrame([], T.StructType(name.fields + struct.fields))
+    raw = spark.read.text(files).select(F.col("_metadata.file_name").alias("file"), "value", F.get_json_object("value", "$._meta").alias("meta")).where(F.trim("value") != "")
+    heads = raw.where("meta is not null").select("file", F.from_json("meta", kind).alias("m")).select("file", "m.*")
+    return heads, raw.where("meta is null").select("file", F.from_json("value", struct).alias("r")).where("r is not null").select("file", "r.*")
+
+
 def read_meta(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The ``_meta`` header of each file: file, then its fields."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from leafmark.functions import text as X
 from leafmark.functions.legacy_font import to_unicode
 from leafmark.operators import alignment, citations, evaluate, fusion, layout, ledger, lexicon, listing, matching, merging, pdf_lines, repair, sampling, translation, units, vectors
+from leafmark.operators import truth as truth_
 from leafmark.plans import pipeline
 from leafmark.sinks import tables as sinks
 from leafmark.sources import dictionary, engines, filenames, tables
@@ -192,6 +193,48 @@ def test_match_all(spark):
     assert [(r.qid, r.line_id, r.method, r.score) for r in got] == [(1, 2, "ang-window", 1.0)]
 
 
+def test_key_spans_lead_back_to_the_line(spark):
+    line = "ਸਤਿ, ਨਾਮੁ ॥੧॥ ਰਹਾਉ ॥ end. ॥"
+    got = one(spark, matching.key_spans(F.col("t")), t=line)
+    norm = one(spark, X.normalise(F.col("t")), t=line)
+    assert [x.g for x in got] == one(spark, matching.match_key(F.col("t")), t=line)
+    assert [norm[x.start : x.end] for x in got] == ["ਸ", "ਤਿ", "ਨਾ", "ਮੁ", "e", "n", "d"]
+    match = F.expr("array(named_struct('start', 0, 'end', 4, 'text', 'ਸਤਿ ਨਾਮੁ ॥'))")
+    assert one(spark, matching.replaced(F.col("t"), match), t="xx ॥੧॥ ਸਤਿ ਨਾਮ ॥ 12").endswith("12")
+    assert one(spark, matching.replaced(F.col("t"), F.expr("array(named_struct('start', 2, 'end', 6, 'text', 'NEW॥'))")), t="ab cdef ॥ gh") == "ab NEW॥ gh"
+
+
+def test_best_reading(spark):
+    rows = [(1, 0, 0, 0.9, 0, 5, 20, False), (1, 1, 0, 0.8, 0, 8, 10, False), (2, 0, 0, 0.9, 0, 3, 20, True), (2, 1, 1, 0.5, 0, 3, 20, True), (2, 1, 1, 0.4, 4, 9, 20, True)]
+    got = matching.best_reading(spark.createDataFrame(rows, "line int, reading int, source int, score double, start int, end int, key_size int, quotable boolean"), ["line"])
+    assert sorted((r.line, r.reading, r.source) for r in got.collect()) == [(1, 1, 0), (2, 0, 0)]
+
+
+def test_truth_readings(spark):
+    words = [(0, 0, 40, 30, "left"), (100, 0, 140, 30, "right"), (150, 0, 190, 30, "side")]
+    lines = [(1, 1, 0, 0, 200, 30, "left right side", None, words), (1, 2, 0, 40, 200, 70, "tail", 1, None), (1, 3, 0, 100, 200, 130, "alone", None, None)]
+    kind = "page int, n int, x0 int, y0 int, x1 int, y1 int, text string, merged_into int, words array<struct<x0:int,y0:int,x1:int,y1:int,text:string>>"
+    truth = [(1, "a", 95, 0, 200, 30, "right side"), (1, "b", 0, 40, 200, 70, "left right side tail"), (1, "c", 0, 300, 50, 330, "gone"), (2, "d", 0, 0, 9, 9, "unread page")]
+    got = truth_.readings(spark.createDataFrame(truth, "page int, id string, x0 int, y0 int, x1 int, y1 int, text string"), spark.createDataFrame(lines, kind), ["page"])
+    assert {r.id: r.hyp for r in got.collect()} == {"a": "right side", "b": "left right side tail", "c": ""}
+    assert one(spark, truth_.window_of(F.col("r"), F.col("h")), r="the third line", h="the first line the second line the thirb line the last line") == "the thirb line"
+    assert one(spark, truth_.window_of(F.col("r"), F.col("h")), r="abcd", h="abcdefg") == "abcdefg"
+
+
+def test_pages_to_read(spark):
+    make = lambda rows: spark.createDataFrame(rows, "book string, page int")
+    pages = make([("a", k) for k in range(1, 7)] + [("b", 1)])
+    got = listing.selected_pages(pages, make([("a", k) for k in range(2, 7)]), [make([("a", 3), ("a", 4), ("a", 6)])], make([("a", 4)]), 5)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 3), ("a", 6)]
+    assert listing.selected_pages(pages, most=1).count() == 2
+
+
+def test_stamps_and_stanzas(spark):
+    rows = spark.createDataFrame([(1, "x", "Page 8 of 530"), (1, "y", "। 2੩06"), (2, "x", "verse")], "n int, engine string, text string")
+    assert [r.n for r in fusion.stamped(rows, ["n"]).collect()] == [1]
+    assert one(spark, X.is_stanza_end(F.col("t")), t="ਲਿਖਿਆ ਨਾਲਿ ॥੧॥") is True and one(spark, X.is_stanza_end(F.col("t")), t="॥ ਰਹਾਉ ॥") is False
+
+
 # -- citations ------------------------------------------------------------------------------------------------------------
 def test_resolution_needs_overlap_and_margin(spark):
     lines = [(1, 1, 5, "mercy wisdom patience truth"), (2, 2, 5, "mercy wisdom patience truth"), (3, 3, 5, "lotus ocean silent river mountain"), (4, 4, 5, "wind rain")]
@@ -226,6 +269,12 @@ def test_units(spark):
     assert len(built(spark, [("1", "body", "a b c d e f g h i j k l", [])], 3, 5)) == 1
 
 
+def test_parts_come_by_number(spark):
+    rows = [("w", p, 1, 0, "body", f"words of part {p} here.", None, []) for p in ("10", "2", "1", None)]
+    got = units.build_units(spark.createDataFrame(rows, KIND), 3, 60).orderBy("seq").collect()
+    assert [r.part for r in got] == [None, "1", "2", "10"]
+
+
 def test_unit_rows_are_dense(spark):
     rows = [(f"w{k % 3}", "1", 1, k, "body", "three words here. " * 3, None, []) for k in range(30)]
     got = units.numbered(units.build_units(spark.createDataFrame(rows, KIND), 6, 20)).orderBy("unit_row").collect()
@@ -401,6 +450,12 @@ def test_jsonl(spark, tmp_path):
     path = tmp_path / "x.jsonl"
     path.write_text('{"_meta": {"work": "w", "lang": "en"}}\n\n{"id": "1", "text": "a"}\nnot json\n{"id": "2", "text": "b"}\n')
     assert [(r.id, r.text) for r in tables.read_jsonl(spark, str(path), "id string, text string").collect()] == [("1", "a"), ("2", "b")]
+    assert tables.read_jsonl(spark, str(tmp_path / "none.jsonl"), "id string, text string").collect() == []
+    for name in ("citations", "units-en", "x.en"):
+        (tmp_path / f"{name}.jsonl").write_text('{"_meta": {"work": "no"}}\n{"id": "9", "text": "z"}\n')
+    heads, records = tables.read_works(spark, str(tmp_path), "work string, lang string", "id string, text string")
+    assert [r.work for r in heads.collect()] == ["w"] and sorted(r.id for r in records.where("id is not null").collect()) == ["1", "2"]
+    assert tables.read_works(spark, str(tmp_path / "nowhere"), "work string", "id string")[1].count() == 0
     assert [(r.work, r.lang) for r in tables.read_meta(spark, str(path), "work string, lang string").collect()] == [("w", "en")]
 
 
