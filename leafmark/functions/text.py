@@ -244,7 +244,9 @@ def levenshtein_items(a: Column, b: Column) -> Column:
 
     plain_a, plain_b = F.array_join(a, ""), F.array_join(b, "")
     single = (F.length(plain_a) == F.size(a)) & (F.length(plain_b) == F.size(b))  # every item is one character already
-    return F.when(single, F.levenshtein(plain_a, plain_b)).otherwise(let(F.array_distinct(F.concat(a, b)), lambda book: F.levenshtein(coded(a, book), coded(b, book))))
+    # a band is enough for texts that differ little
+    banded = let(F.levenshtein(plain_a, plain_b, 256), lambda d: F.when(d >= 0, d).otherwise(F.levenshtein(plain_a, plain_b)))
+    return F.when(single, F.when(plain_a == plain_b, 0).otherwise(banded)).otherwise(let(F.array_distinct(F.concat(a, b)), lambda book: F.levenshtein(coded(a, book), coded(b, book))))
 
 
 def error_rate(ref: Column, hyp: Column) -> Column:

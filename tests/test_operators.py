@@ -170,6 +170,19 @@ def test_segmented_blocks(spark):
     assert rows.select(alignment.segmented("b", "ls").alias("x")).first().x == ["one", "two", "three"]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text("abc", min_size=7, max_size=40), st.text("abc", min_size=5, max_size=9))
+def test_skipped_windows_are_no_better(q, c):
+    q, c = list(q), list(c)
+    best, span = 2 * alignment.lcs(q, c) / (len(q) + len(c)), None
+    if len(q) >= len(c) + 2:
+        for end in range(1, len(q) + len(c)):
+            lo, hi = max(0, end - len(c)), min(len(q), end)
+            if (s := 2 * alignment.lcs(q[lo:hi], c) / (hi - lo + len(c))) > best:
+                best, span = s, (lo, hi)
+    assert alignment.similarity(q, c) == (best, span)
+
+
 def test_partial_similarity():
     assert alignment.similarity(list("abc"), list("abc")) == (1.0, None)
     s, span = alignment.similarity(list("xxxhelloyyy"), list("hello"))
