@@ -150,8 +150,8 @@ def bake_off(spark: SparkSession, sf: str) -> DataFrame:
     return E.bake_off(rows)
 
 
-def _keyed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    base = _lines(spark, sf).selectExpr("page * 100000 + para_no AS qid", "text")
+def _keyed(spark: SparkSession, sf: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    base = _lines(spark, sf).selectExpr("page * 100000 + para_no AS qid", f"{text} AS text")
     return base.select("qid", "text", M.match_key(F.col("text")).alias("key")), corpus_lines(table(spark, sf, "benchmark")).select("line_id", "ang", "text", M.match_key(F.col("text")).alias("key"))
 
 
@@ -161,8 +161,11 @@ def trigram_candidates_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines that carry a corpus line: those whose best candidate shares most of its trigrams go on to alignment."""
-    queries, corpus = _keyed(spark, sf)
+    """Lines that carry a corpus line: those whose best candidate shares most of its trigrams go on to alignment.
+
+    Only the first 120 characters of a line are looked at: whole lines give pairs too dear to align (figures in the README).
+    """
+    queries, corpus = _keyed(spark, sf, "left(text, 120)")
     strong = M.candidates(queries, corpus, M.TOP).join(corpus.select("line_id", F.size("key").alias("size")), "line_id").where("hits * 2 >= size")
     return M.matched(queries, corpus, strong.select("qid", "line_id"), M.GLOBAL_ACCEPT, "global").select("qid", "line_id", "score", "method")
 
