@@ -48,7 +48,7 @@ def pca_project(spark: SparkSession, sf: str) -> DataFrame:
 
 def mean_vectors(spark: SparkSession, sf: str) -> DataFrame:
     chunks = table(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / 5).cast("long").alias("unit"), "embedding")
-    return V.mean_of_chunks(chunks, "unit", "embedding").select("unit", F.posexplode("embedding").alias("k", "x")).select("unit", F.col("k").cast("long").alias("k"), F.rint(F.col("x") * 1e4).cast("long").alias("x_e4"))
+    return V.mean_of_chunks(chunks, "unit", "embedding").select("unit", F.posexplode("embedding").alias("k", "x")).select("unit", F.col("k").cast("long").alias("k"), F.rint(F.col("x") * 1e2).cast("long").alias("x_e2"))
 
 
 def _ledger(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +109,7 @@ def oracle_sql() -> dict[str, str]:
         "dequantize": f"WITH {unit} SELECT vec_id, array_to_string(list_transform(d, lambda x: floor(x * 1e4)::BIGINT), ',') AS d FROM d",
         "roundtrip_cosine": f"WITH {unit} SELECT floor(min(c) * 1e6)::BIGINT AS min_ppm, floor(avg(c) * 1e6)::BIGINT AS mean_ppm FROM (SELECT {cos} AS c FROM d)",
         "vector_topk": f"WITH {unit}, one AS (SELECT v AS q FROM u ORDER BY vec_id LIMIT 1), sc AS (SELECT vec_id, {dot.format(a='codes', b='q')} * scale AS score FROM q, one) SELECT vec_id, floor(score * 1e5)::BIGINT AS score_e5 FROM sc ORDER BY score DESC, vec_id LIMIT 20",
-        "mean_vectors": f"WITH x AS (SELECT vec_id // 5 AS unit, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS k FROM embeddings), a AS (SELECT unit, k, avg(x::DOUBLE) AS x FROM x GROUP BY ALL) SELECT unit, k - 1 AS k, round_even(x / sqrt(sum(x * x) OVER (PARTITION BY unit)) * 1e4, 0)::BIGINT AS x_e4 FROM a",
+        "mean_vectors": f"WITH x AS (SELECT vec_id // 5 AS unit, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS k FROM embeddings), a AS (SELECT unit, k, avg(x::DOUBLE) AS x FROM x GROUP BY ALL) SELECT unit, k - 1 AS k, round_even(x / sqrt(sum(x * x) OVER (PARTITION BY unit)) * 1e2, 0)::BIGINT AS x_e2 FROM a",
         "budget_month": f"WITH {ledger} SELECT month, engine, count(*) AS calls, sum(cents)::BIGINT AS cents FROM l GROUP BY ALL",
         "budget_cap": f"WITH {ledger}, c AS (SELECT month, seq, sum(cents) OVER (PARTITION BY month ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)::BIGINT AS total FROM l) SELECT month, seq, total, total <= 500000000 AS allowed FROM c",
         "ledger_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS engine, count(*) AS calls, sum(round_even(value * 100, 0)::BIGINT)::BIGINT AS cents FROM events GROUP BY ALL",
