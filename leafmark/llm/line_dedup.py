@@ -114,8 +114,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seen) > _SEEN:
                 seen.clear()
             docs = batch.column(0).slice(lo, hi - lo).take(pa.array(np.repeat(np.arange(hi - lo), counts)))
-            short = np.frombuffer(b"".join(ids), np.int64)[::2]
-            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(ids, pa.binary()), docs, pa.array(number, pa.int64()), pa.array(texts, pa.binary())], ["id", "digest", "doc_id", "line_no", "line"])
+            halves = np.frombuffer(b"".join(ids), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), docs, pa.array(number, pa.int64()), pa.array(texts, pa.binary())], ["id", "more", "doc_id", "line_no", "line"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +222,9 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    path, schema = scratch.new_dir(spark, "lines"), "id long, digest binary, doc_id long, line_no long, line binary"
-    rows.mapInArrow(_lines, schema).write.option("compression", "zstd").parquet(path)
+    path, schema = scratch.new_dir(spark, "lines"), "id long, more long, doc_id long, line_no long, line binary"
+    # dictionaries of texts and hashes would be built only to be given up
+    rows.mapInArrow(_lines, schema).write.options(**{"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in ("id", "more", "line")}}).parquet(path)
     lines = _distinct_ids(spark.read.schema(schema).parquet(path))
     first = lines.where(f"line is not null AND length(line) >= {SHINGLE}").select("id", "line")
     keyed = first.select("id", "line").mapInArrow(_keys, "key long, id long").repartition(F.col("key")).sortWithinPartitions("key")
@@ -241,19 +242,23 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     links = confirmed(pairs)
     roots = graph.components(links)
     scratch.dropped(links)
-    # the pairs of a star connect all lines of its bucket; a bucket of two has been compared
-    larger = stars.groupBy("key").agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).where("a0 <> a1 OR b0 <> b1").select("key")
-    ends = stars.join(larger, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
-    members = scratch.written(further.spread(ends, roots), "spread")
+    # the pairs of a star connect all lines of its bucket, so a bucket over several components has a pair over two
+    apart = pairs
+    for end in ("a", "b"):
+        apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    apart = apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    several = stars.join(apart, ["a", "b"], "left_semi").select("key").distinct()
+    open_ = scratch.written(stars.join(several, "key", "left_semi"), "apart")
+    # a bucket of two has been compared
+    larger = open_.groupBy("key").agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1")).where("a0 <> a1 OR b0 <> b1").select("key")
+    members = scratch.written(open_.join(larger, "key", "left_semi").select("key", F.explode(F.array("a", "b")).alias("id")).distinct(), "spread")
     sketches = scratch.written(texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "line").mapInArrow(_sketch, "id long, n long, bits array<long>, keys array<long>"), "sketches")
     roots = further.linked(members, sketches, roots, pairs, confirmed, percent, PARITY)
-    scratch.dropped(stars, pairs, texts, members, sketches)
+    scratch.dropped(stars, pairs, texts, open_, members, sketches)
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "line_no")
-    nodes = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    nodes = scratch.written(further.rooted(nodes, roots), "nodes")
-    whole = nodes.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n_lines")).where("n_lines > 1")
-    of = nodes.select("id", "root").join(whole, "root").select("id", "keep", "n_lines")
-    out = lines.select("id", "doc_id", "line_no").join(of, "id", "left")
+    of = further.rooted(lines.select("id", "doc_id", "line_no"), roots)
+    whole = of.groupBy("root").agg(F.min(place).alias("keep"), F.count("*").alias("n_lines")).where("n_lines > 1")
+    out = of.join(whole, "root", "left")
     keep = F.coalesce("keep", place)
     return out.select("doc_id", "line_no", F.coalesce("n_lines", F.lit(1)).cast("long").alias("n_lines"), F.nullif(keep["doc_id"], F.lit(2**63 - 1)).alias("keep_doc"), keep["line_no"].alias("keep_line"), (place == keep).alias("kept"))
 
@@ -261,10 +266,10 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
 def _distinct_ids(lines: DataFrame) -> DataFrame:
     """Ids are 64 bits of the 128-bit digests; lines that differ but share an id get other ids, until none do."""
     for salt in range(1, 9):
-        clash = lines.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("id")
+        clash = lines.groupBy("id").agg(F.min("more").alias("lo"), F.max("more").alias("hi")).where("lo <> hi").select("id")
         clash = scratch.written(clash, "clash")
         if clash.isEmpty():
             return lines
         again = lines.join(clash.withColumn("clash", F.lit(True)), "id", "left")
-        lines = again.withColumn("id", F.when(F.col("clash"), F.xxhash64("digest", F.lit(salt))).otherwise(F.col("id"))).drop("clash")
+        lines = again.withColumn("id", F.when(F.col("clash"), F.xxhash64("id", "more", F.lit(salt))).otherwise(F.col("id"))).drop("clash")
     raise RuntimeError("ids of lines still clash")
