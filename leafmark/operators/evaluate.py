@@ -112,3 +112,19 @@ def translation_scores(rows: DataFrame) -> DataFrame:
         return pd.DataFrame([(f["engine"].iloc[0], round(chrf(h, r), 1) if h else 0.0, round(bleu(h, r), 1) if h else 0.0, round(float(ratio), 2), len(h))], columns=["engine", "chrf", "bleu", "ratio", "scored"])
 
     return rows.groupBy("engine").applyInPandas(run, "engine string, chrf double, bleu double, ratio double, scored long")
+
+
+def bench_lines(rows: DataFrame, styles: list[str], lang: str, least: int = 40) -> DataFrame:
+    """Rows (style, lang, text, ...) that a translation bench may draw: prose of these styles, not in English, long enough, without
+    a verse's danda; white space in ``text`` is folded.  A row without ``lang`` has the work's."""
+    text, of = F.col("text"), F.coalesce("lang", F.lit(lang))
+    fit = F.col("style").isin(styles) & (of != "en") & (F.length(text) >= least) & ~text.contains("॥")
+    return rows.where(fit).withColumn("text", F.trim(F.regexp_replace(text, r"\s+", " ")))
+
+
+def render_report(pages: DataFrame) -> DataFrame:
+    """pages: book, angle (null: 0), skipped -> rendered, there, and the mean and largest absolute angle of the rendered ones."""
+    done = ~F.coalesce("skipped", F.lit(False))
+    angle = F.when(done, F.abs(F.coalesce("angle", F.lit(0.0))))
+    sums = [F.count_if(done).alias("rendered"), F.count_if(~done).alias("there")]
+    return pages.groupBy("book").agg(*sums, F.coalesce(F.avg(angle), F.lit(0.0)).alias("mean_angle"), F.coalesce(F.max(angle), F.lit(0.0)).alias("max_angle"))

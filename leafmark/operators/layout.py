@@ -130,3 +130,10 @@ def bold_split(widths: DataFrame, page: list[str], ratio: float = 1.06, side: in
     best = rows.groupBy(*page).agg(F.min_by(F.struct("i", "s", "all_s", "total", "w", "next"), F.struct("within", "i")).alias("b"))
     low, high = F.col("b.s") / F.col("b.i"), (F.col("b.all_s") - F.col("b.s")) / (F.col("b.total") - F.col("b.i"))
     return best.where(high >= ratio * low).select(*page, ((F.col("b.w") + F.col("b.next")) / 2).alias("threshold"), F.col("b.i").cast("long").alias("regular"))
+
+
+def padded_crops(boxes: DataFrame, pad: int = 10) -> DataFrame:
+    """Boxes (x0, y0, x1, y1, page_w, page_h) widened by ``pad`` on every side, as far as the page goes: what a crop shows."""
+    low = [F.greatest(F.lit(0), F.col(c) - pad).alias(c) for c in ("x0", "y0")]
+    high = [F.least(F.col(size), F.col(c) + pad).alias(c) for c, size in (("x1", "page_w"), ("y1", "page_h"))]
+    return boxes.select(*[F.col(c) for c in boxes.columns if c not in ("x0", "y0", "x1", "y1")], *low, *high)

@@ -35,3 +35,21 @@ def selected_pages(pages: DataFrame, wanted: DataFrame | None = None, only: list
     if most is None:
         return pages
     return pages.withColumn("r", F.row_number().over(Window.partitionBy("book").orderBy("page"))).where(F.col("r") <= most).drop("r")
+
+
+def engines_with_output(outputs: DataFrame) -> DataFrame:
+    """outputs: book, engine -> engines of each book in order of name; the merged reading, which is no engine, comes last."""
+    own = F.array_sort(F.collect_set(F.when(F.col("engine") != "merged", F.col("engine"))))
+    merged = F.coalesce(F.bool_or(F.col("engine") == "merged"), F.lit(False))
+    tail = F.when(merged, F.array(F.lit("merged"))).otherwise(F.array().cast("array<string>"))
+    return outputs.groupBy("book").agg(F.concat(own, tail).alias("engines"))
+
+
+def missing_runs(truth: DataFrame, outputs: DataFrame, engines: dict[str, bool], paid_too: bool = False) -> DataFrame:
+    """Pages (book, page) with verified lines that an engine has not read, with ``run``: false for paid engines unless ``paid_too``.
+
+    ``engines``: whether each one is paid; a fixed list, so each page becomes that many rows and no join is needed for it.
+    """
+    every = F.array(*[F.struct(F.lit(name).alias("engine"), F.lit(paid_too or not paid).alias("run")) for name, paid in sorted(engines.items())])
+    asked = truth.select("book", "page").distinct().select("book", "page", F.inline(every))
+    return asked.join(outputs.select("book", "page", "engine").distinct(), ["book", "page", "engine"], "left_anti")

@@ -99,6 +99,11 @@ def engine(name: str) -> Engine:
     return _ENGINES[name]()
 
 
+def first_available(names: list[str], profiles: dict[str, dict], installed: Callable[[dict], bool]) -> str | None:
+    """The first of these model profiles that is known and whose weights are here, or None."""
+    return next((n for n in names if n in profiles and installed(profiles[n])), None)
+
+
 def retried(call: Callable, times: int = 5, wait: float = 1.0, passing: Callable[[Exception], bool] = lambda e: re.search(r"\b(429|5\d\d)\b", str(e)) is not None, sleep: Callable = time.sleep):
     """``call()`` again after passing errors, waiting twice as long each time."""
     for attempt in range(times):

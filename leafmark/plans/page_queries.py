@@ -269,10 +269,51 @@ def filename_parse(spark: SparkSession, sf: str) -> DataFrame:
     return tails.select("page_id", "name", parsed(F.col("name")).alias("p")).select("page_id", "p.*")
 
 
+def padded_crops(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf, _BOX).withColumn("page_w", F.lit(1000)).withColumn("page_h", F.lit(3300))
+    return L.padded_crops(rows).select("page", "n", "x0", "y0", "x1", "y1")
+
+
+_STYLE = "CASE para_no % 4 WHEN 0 THEN 'quote' WHEN 1 THEN 'prose' ELSE 'body' END AS style"
+_BENCH_TEXT = "CASE WHEN para_no % 6 = 5 THEN text || ' ॥' ELSE text || '  ' END AS text"
+
+
+def bench_lines(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _lines(spark, sf).selectExpr("page", "para_no AS n", _STYLE, "CASE WHEN para_no % 5 <> 0 THEN lang END AS lang", _BENCH_TEXT)
+    return E.bench_lines(rows, ["prose", "body"], "pa").select("page", "n", F.md5("text").alias("text"))
+
+
+# Angles are 64ths, so that sums are exact in any order.
+_ANGLE = "CASE WHEN doc_id % 9 <> 4 THEN (doc_id * 37 % 401 - 200) / 64.0{0} END AS angle, CASE WHEN doc_id % 5 <> 0 THEN doc_id % 7 = 0 END AS skipped"
+
+
+def render_report(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").selectExpr("source AS book", *_ANGLE.format("D").split(", "))
+    got = E.render_report(rows)
+    return got.select("book", "rendered", "there", F.floor(F.col("mean_angle") * 1000).cast("long").alias("mean_mil"), F.floor(F.col("max_angle") * 1000).cast("long").alias("max_mil"))
+
+
+_OUTPUT = "CASE doc_id % 4 WHEN 0 THEN 'merged' WHEN 1 THEN 'ink' WHEN 2 THEN 'glyph' ELSE 'vision' END AS engine"
+
+
+def _outputs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").selectExpr("source AS book", "doc_id % 50 AS page", _OUTPUT)
+
+
+def engines_with_output(spark: SparkSession, sf: str) -> DataFrame:
+    return G.engines_with_output(_outputs(spark, sf)).select("book", F.array_join("engines", ",").alias("engines"))
+
+
+def missing_runs(spark: SparkSession, sf: str) -> DataFrame:
+    truth = table(spark, sf, "documents").selectExpr("source AS book", "doc_id % 60 AS page")
+    return G.missing_runs(truth, _outputs(spark, sf), {"ink": False, "glyph": False, "vision": True})
+
+
 def queries() -> dict:
     names = ("box_overlap_join orphan_anti_join orphans_adopted zones gutter_histogram two_columns paragraph_breaks joined_paragraphs bold_split vote_majority vote_aligned cer_wer_by_engine eval_grouping_sets "
              "routing_cells routing_reasons routed_pages match_quality voter_choice auto_weights bake_off trigram_candidates_topk fuzzy_match correct_words learned_confusions units_build units_conserved apply_translation "
-             "ingest_measure mode_first_seen upper_median p10_agreement listing_upsert promote_upsert resume_todo manifest_defaults legacy_font filename_parse").split()
+             "ingest_measure mode_first_seen upper_median p10_agreement listing_upsert promote_upsert resume_todo manifest_defaults legacy_font filename_parse "
+             "padded_crops bench_lines render_report engines_with_output missing_runs").split()
     return {n: globals()[n] for n in names}
 
 
@@ -296,6 +337,14 @@ def oracle_sql() -> dict[str, str]:
     rank = "row_number() OVER (PARTITION BY {0} ORDER BY n_chars) AS r, count(*) OVER (PARTITION BY {0}) AS n"
 
     return {
+        "padded_crops": f"WITH {SQL}, b AS ({a}) SELECT page, n, greatest(0, x0 - 10) AS x0, greatest(0, y0 - 10) AS y0, least(1000, x1 + 10) AS x1, least(3300, y1 + 10) AS y1 FROM b",
+        "bench_lines": rf"""WITH {SQL}, r AS (SELECT page, para_no AS n, {_STYLE}, CASE WHEN para_no % 5 <> 0 THEN lang END AS lang, {_BENCH_TEXT} FROM paras)
+            SELECT page, n, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS text FROM r WHERE style IN ('prose', 'body') AND coalesce(lang, 'pa') <> 'en' AND length(text) >= 40 AND NOT contains(text, '॥')""",
+        "render_report": f"""WITH r AS (SELECT source AS book, {_ANGLE.format('::DOUBLE')} FROM documents), d AS (SELECT book, NOT coalesce(skipped, false) AS done, abs(coalesce(angle, 0)) AS angle FROM r)
+            SELECT book, count(*) FILTER (done) AS rendered, count(*) FILTER (NOT done) AS there, floor(coalesce(avg(angle) FILTER (done), 0) * 1000)::BIGINT AS mean_mil, floor(coalesce(max(angle) FILTER (done), 0) * 1000)::BIGINT AS max_mil FROM d GROUP BY book""",
+        "engines_with_output": f"WITH o AS (SELECT DISTINCT source AS book, {_OUTPUT} FROM documents) SELECT book, string_agg(engine, ',' ORDER BY engine = 'merged', engine) AS engines FROM o GROUP BY book",
+        "missing_runs": f"""WITH o AS (SELECT source AS book, doc_id % 50 AS page, {_OUTPUT} FROM documents), t AS (SELECT DISTINCT source AS book, doc_id % 60 AS page FROM documents),
+            e AS (SELECT * FROM (VALUES ('ink', true), ('glyph', true), ('vision', false)) AS v(engine, run)) SELECT book, page, engine, run FROM t, e WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.book = t.book AND o.page = t.page AND o.engine = e.engine)""",
         "box_overlap_join": f"WITH {SQL}, p AS ({a}), o AS ({b}) SELECT page, p.n AS n, trim(string_agg(o.text, ' ' ORDER BY o.x0, o.n)) AS text FROM p JOIN o USING (page) WHERE {v} >= 0.5 AND {h} >= 0.3 GROUP BY page, p.n",
         "orphan_anti_join": f"""WITH {SQL}, p AS ({a} WHERE para_no % 3 <> 0), o AS ({b}), u AS (SELECT page, list_sort(list(y1 - y0))[(count(*) // 2 + 1)::INT] AS usual FROM p GROUP BY page)
             SELECT page, o.n AS n FROM o JOIN u USING (page) WHERE o.y1 - o.y0 <= 2.5 * usual AND NOT EXISTS (SELECT 1 FROM p WHERE p.page = o.page AND {v} >= 0.4)""",

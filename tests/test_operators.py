@@ -563,3 +563,37 @@ def test_schemas_parse(spark):
     for name, ddl in vars(schemas).items():
         if name.isupper():
             assert spark.createDataFrame([], ddl).columns
+
+
+def test_crops_stay_on_the_page(spark):
+    rows = spark.createDataFrame([(1, 4, 20, 95, 290, 100, 300)], "n int, x0 int, y0 int, x1 int, y1 int, page_w int, page_h int")
+    assert tuple(layout.padded_crops(rows).select("x0", "y0", "x1", "y1").first()) == (0, 10, 100, 300)
+
+
+def test_bench_takes_long_prose_only(spark):
+    long = "word " * 9
+    rows = [(1, "body", None, long), (2, "body", "en", long), (3, "verse", None, long), (4, "body", None, long + "॥"), (5, "body", None, "short"), (6, None, None, long), (7, "body", "pa", None)]
+    got = evaluate.bench_lines(spark.createDataFrame(rows, "n int, style string, lang string, text string"), ["body"], "pa").collect()
+    assert [(r.n, r.text) for r in got] == [(1, long.strip())]
+    assert evaluate.bench_lines(spark.createDataFrame(rows[:1], "n int, style string, lang string, text string"), ["body"], "en").isEmpty()
+
+
+def test_render_report_without_new_pages(spark):
+    rows = [("a", -2.0, None), ("a", None, False), ("a", 9.0, True), ("b", 1.0, True)]
+    got = evaluate.render_report(spark.createDataFrame(rows, "book string, angle double, skipped boolean")).orderBy("book").collect()
+    assert [tuple(r) for r in got] == [("a", 2, 1, 1.0, 2.0), ("b", 0, 1, 0.0, 0.0)]
+
+
+def test_engines_and_what_they_have_to_read(spark):
+    out = spark.createDataFrame([("a", 1, "zeta"), ("a", 1, "merged"), ("a", 2, "ink"), ("b", 1, "ink")], "book string, page int, engine string")
+    assert {r.book: r.engines for r in listing.engines_with_output(out).collect()} == {"a": ["ink", "zeta", "merged"], "b": ["ink"]}
+    truth = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "book string, page int")
+    got = {(r.book, r.page, r.engine, r.run) for r in listing.missing_runs(truth, out, {"ink": False, "zeta": True}).collect()}
+    assert got == {("a", 1, "ink", True), ("b", 1, "zeta", False)}
+    assert {r.run for r in listing.missing_runs(truth, out, {"ink": False, "zeta": True}, paid_too=True).collect()} == {True}
+
+
+def test_first_available_profile():
+    profiles = {"fine": {"dir": "f"}, "base": {"dir": "b"}}
+    assert translation.first_available(["other", "fine", "base"], profiles, lambda p: p["dir"] == "b") == "base"
+    assert translation.first_available(["fine"], profiles, lambda p: False) is None
