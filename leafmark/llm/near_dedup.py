@@ -143,7 +143,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     """doc_id, place, n_shingles, root (of the row's class; null without shingles), component_id for each row of ``docs``."""
     text = F.col(text_col).cast("string")
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("at"), F.col(R.PLACE).alias("place"))
-    sketch = ids.mapInArrow(_sketch, "doc_id long, at long, place string, n_shingles long, h1 long, h2 long, keys array<long>")
+    sketch = scratch.passed(ids, _sketch, "doc_id long, at long, place string, n_shingles long, h1 long, h2 long, keys array<long>")
     sketch = scratch.written(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # a class is found again by the doc_id (or else text) of one of its rows; rows are numbered once, in the written table
     equal = ["n_shingles", "h1", "h2"]
@@ -157,7 +157,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     buckets = exploded.groupBy("key").agg(F.count("*").alias("size"), F.min(F.xxhash64("id", "key")).alias("low")).where("size > 1")
     bucket = scratch.written(exploded.join(buckets, "key").withColumn("rank", F.xxhash64("id", "key")), "bucket")
     needed = reps.join(bucket.select("id").distinct(), "id", "left_semi").select("id", "at", "h1", "h2")
-    packed = ids.join(needed, "at").select("id", "text", "h1", "h2").mapInArrow(_pack, "id long, shingles binary")
+    packed = scratch.passed(ids.join(needed, "at").select("id", "text", "h1", "h2"), _pack, "id long, shingles binary")
     if not member.groupBy("at").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         packed = packed.dropDuplicates(["id"])
     sets = scratch.written(packed, "sets")
@@ -166,7 +166,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
         x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         full = pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb")
-        return scratch.written(full.mapInArrow(_confirm(percent), "a long, b long"), "links")
+        return scratch.written(scratch.passed(full, _confirm(percent), "a long, b long"), "links")
 
     centres = bucket.where("rank = low").select("key", F.col("id").alias("centre"), F.col("n").alias("m"))
     stars = bucket.join(centres, "key").where(f"id <> centre AND 100 * least(n, m) >= {percent} * greatest(n, m)")
@@ -176,7 +176,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Da
     scratch.dropped(links)
 
     members = scratch.written(further.spread(bucket.where("size > 2").select("key", "id"), roots), "spread")
-    bits = sets.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(_parity, "id long, bits array<long>")
+    bits = scratch.passed(sets.join(members.select("id").distinct(), "id", "left_semi"), _parity, "id long, bits array<long>")
     sketches = scratch.written(bits.join(reps.select("id", F.col("n_shingles").alias("n"), "keys"), "id"), "sketches")
     roots = further.linked(members, sketches, roots, stars, confirmed, percent, PARITY)
     scratch.dropped(bucket, sets, stars, members, sketches)

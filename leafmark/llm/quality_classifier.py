@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
+from . import scratch
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -168,7 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").cast("long").alias("__label"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
-    got = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "__label").repartition(1).mapInArrow(_trainer, "word binary, gram binary, bias double").first()
+    taught = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "__label").repartition(1)
+    got = scratch.passed(taught, _trainer, "word binary, gram binary, bias double").first()
     if got is None:
         return train(pa.array([], pa.string()), np.zeros(0))
     return Model(np.frombuffer(got[0], np.float32), np.frombuffer(got[1], np.float32), got[2])
@@ -188,7 +190,7 @@ def scores(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
                 s = score_chunk(shared.value, buf, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return scratch.passed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, score double, predicted int")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
@@ -207,4 +209,4 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
                 keep[lo:hi] = score_chunk(shared.value, buf, offsets) >= threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, schema)
+    return scratch.passed(docs, run, schema)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scratch
+
 MARK = "▁"
 #: Words that a worker's cache holds, in each of two generations; longer words (characters) are never held, so its bytes are bounded.
 CACHE, LONGEST = 200_000, 64
@@ -286,7 +288,7 @@ def _over(docs: DataFrame, proto: bytes, schema: str, make: Callable[[Codec, lis
                 ids, texts = batch.column(0).slice(i, 128), batch.column(1).slice(i, 128)
                 yield pa.RecordBatch.from_arrays([ids, *make(own, texts.to_pylist())], [x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return scratch.passed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema)
 
 
 def encoded(docs: DataFrame, proto: bytes) -> DataFrame:

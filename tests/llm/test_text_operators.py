@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from leafmark.llm import fertility_rules, html_extraction, license_scan, mixing, quality_classifier, sentencepiece_codec, sharding
+from leafmark.llm import fertility_rules, html_extraction, license_scan, mixing, near_dedup, quality_classifier, sentencepiece_codec, sharding
 from leafmark.llm.queries import byte_pattern, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
@@ -376,3 +378,30 @@ def test_pipeline_stages_follow_each_other(spark):
     assert set(kept["near dedup"]) == {i for i, r in root.items() if i == r}
     out = P.run(spark, sf).collect()
     assert {r.doc_id for r in out} <= set(kept["near dedup"]) and all(len(r.ids_sha256) == 64 for r in out)
+
+
+def test_passes_get_bounded_batches(spark):
+    from leafmark.llm import scratch
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    try:
+        rows = spark.range(0, 9000, 1, 1).selectExpr("id", "repeat('x', CASE WHEN id = 5000 THEN 9000000 ELSE 4000 END) AS text")
+        got = scratch.passed(rows, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 9000
+        assert all(r.size <= 1.1 * scratch.BATCH or r.size < 9_000_000 + 1.1 * scratch.BATCH and r.n < 2000 for r in got) and sum(r.size > 1.1 * scratch.BATCH for r in got) == 1
+        spark.conf.set(name, "1m")
+        assert all(r.size <= 1.1 * (1 << 20) for r in scratch.passed(rows.where("id < 5000"), sizes, "n long, size long").collect())
+        spark.conf.set(name, before)
+        model = quality_classifier.Model(np.zeros(quality_classifier.BUCKETS, np.float32), np.zeros(quality_classifier.BUCKETS, np.float32), 1.0)
+        for make in (lambda: quality_classifier.accepted(rows, model), lambda: near_dedup.near_duplicates(rows.limit(0).withColumnRenamed("id", "doc_id"))):
+            spark.conf.set(name, before)
+            make()
+            assert int(spark.conf.get(name).rstrip("b")) == scratch.BATCH
+    finally:
+        spark.conf.set(name, before)
