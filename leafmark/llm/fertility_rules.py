@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
+from . import scratch
 from .sentencepiece_codec import codec
 
 WINDOW = 8
@@ -142,10 +143,10 @@ def base_counts(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return {"n_words": n_words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup_lines, "n_repeat_words": repeats}
 
 
-def measures(pieces, other: ByteVocabulary, text: str, n_words: int) -> tuple[int, float, float, float, float, float, float, float]:
+def measures(pieces, other: ByteVocabulary, text: str, n_words: int, ids: np.ndarray | None = None) -> tuple[int, float, float, float, float, float, float, float]:
     """n_tokens, tokens per word, characters per token, byte share, entropy share, min-entropy; then tokens per word and characters
-    per token of the byte vocabulary."""
-    ids = pieces.ids(text)
+    per token of the byte vocabulary.  ``ids``: the text's pieces, if known."""
+    ids = pieces.ids(text) if ids is None else ids
     n = len(ids)
     if n == 0:
         return 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0
@@ -186,10 +187,10 @@ def rules(docs: DataFrame, proto: bytes, ranks: bytes, pattern: str) -> DataFram
                 base = base_counts(buf, offsets)
                 failed = (base["n_words"] < 20) | (100 * base["n_repeat_words"] > 30 * base["n_words"])
                 texts, langs = batch.column(1).slice(lo, hi - lo).to_pylist(), batch.column(2).slice(lo, hi - lo).to_pylist()
-                got = [measures(pieces, other, t or "", int(n)) for t, n in zip(texts, base["n_words"], strict=True)]
+                got = [measures(pieces, other, t or "", int(n), ids) for t, n, ids in zip(texts, base["n_words"], pieces.ids_of(texts), strict=True)]
                 kept = [not bad and verdict(band_of(lang, t or ""), m) for bad, lang, t, m in zip(failed, langs, texts, got, strict=True)]
                 columns = [pa.array(base[k].astype(np.int64)) for k in counts] + [pa.array(failed), pa.array(kept, pa.bool_())]
                 columns += [pa.array([m[k] for m in got], pa.float64() if k else pa.int64()) for k in range(len(_MEASURES))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(run, schema)
+    return scratch.passed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")), run, schema)

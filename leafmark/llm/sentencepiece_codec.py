@@ -15,6 +15,7 @@ import re
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,8 @@ class Codec:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=inner.SerializeToString())
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
+        self.packed: dict[str, bytes] = {}
+        self.packed_old: dict[str, bytes] = {}
 
     # -- normalisation with alignment -------------------------------------------------------------------------------------
     def _prefix_at(self, text: bytes, at: int) -> tuple[bytes, int]:
@@ -215,6 +218,30 @@ class Codec:
             return np.frombuffer(b"".join([g[0] for g in self._entries(words)]), "<i4")
         return self.encode(text)[0]
 
+    def _packed(self, words: list[str]) -> dict[str, bytes]:
+        """word -> ids as bytes."""
+        made = self.pieces.encode([w if w[:1] == "\n" else MARK + w for w in words], num_threads=1)
+        at = np.cumsum([0, *map(len, made)]) * 4
+        flat, at = np.fromiter(chain.from_iterable(made), "<i4", int(at[-1]) // 4).tobytes(), at.tolist()
+        return {w: flat[i:j] for w, i, j in zip(words, at, at[1:], strict=False)}
+
+    def ids_of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """:meth:`ids` of each text.  New words are learnt for all texts at once, and nothing but ids is kept of a word."""
+        cut = [self._fast(t or "") for t in texts]
+        new = set().union(*(c for c in cut if c is not None)).difference(self.packed)
+        own = {w: g for w in new if (g := self.packed_old.get(w)) is not None}
+        missing = [w for w in new if w not in own]
+        for i in range(0, len(missing), 20_000):
+            own |= self._packed(missing[i : i + 20_000])
+        self.packed |= own
+        out = [self.encode(t)[0] if c is None else np.frombuffer(b"".join(map(self.packed.__getitem__, c)), "<i4") for t, c in zip(texts, cut, strict=True)]
+        for w in own:
+            if len(w) > LONGEST:
+                del self.packed[w]
+        if len(self.packed) > CACHE:
+            self.packed_old, self.packed = self.packed, {}
+        return out
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids without an end id, and the start and end bytes of each piece in the UTF-8 of ``text``."""
         text = text or ""

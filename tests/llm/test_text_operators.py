@@ -405,3 +405,27 @@ def test_passes_get_bounded_batches(spark):
             assert int(spark.conf.get(name).rstrip("b")) == scratch.BATCH
     finally:
         spark.conf.set(name, before)
+
+
+def test_ids_of_many_texts_are_learnt_at_once(proto, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(sentencepiece_codec, "CACHE", 40)
+    sp, codec = sentencepiece.SentencePieceProcessor(model_proto=proto), sentencepiece_codec.Codec(proto)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeé中") for _ in range(rng.randint(1, 9))) for _ in range(150)] + ["x" * 200, "a\nb", "é\n中\na", "é" * 70]
+    calls, encode = [], codec.pieces.encode
+
+    def counted(*a, **b):
+        calls.append(a)
+        return encode(*a, **b)
+
+    monkeypatch.setattr(codec.pieces, "encode", counted)
+    for turn in range(6):  # the cache overflows between turns
+        texts = [" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(30)]
+        got = codec.ids_of(texts)
+        assert len(calls) <= turn + 1
+        assert [g.tolist() for g in got] == [sp.encode(t) for t in texts]
+        assert len(codec.packed) <= 40 and not any(len(w) > sentencepiece_codec.LONGEST for w in [*codec.packed, *codec.packed_old])
+    odd = [t for _, t in ODD] + ["two  spaces", " first", "\nline", "a\n\n b \n", "last ", "tab\tin"]
+    assert [g.tolist() for g in codec.ids_of(odd)] == [sp.encode(t or "") for t in odd] and codec.ids_of([]) == []
