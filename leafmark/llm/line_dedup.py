@@ -3,8 +3,8 @@
 1. One Python pass cuts whole texts into lines and gives each its digest and, once a task, its text.
    Shingles are windows of 8 bytes that start at each character; one-permutation signatures of 64 bins give 16 bands of 4:
    a pair at 0.80 is missed with probability 2e-4, at 0.85 with 7e-6, at 0.90 with 4e-8.
-2. Equal lines have one id, so they never pair.  Only (band key, id) is shuffled, once, and sorted by key; each further line
-   of a bucket becomes a candidate with the bucket's centre and with its neighbour, in the order of a hash of that band, so n
+2. Equal lines have one id, so they never pair.  Only (band key, id) is shuffled, once, packed by cells of keys, and each cell
+   is sorted by key where it arrives; each further line of a bucket becomes a candidate with the bucket's centre and with its neighbour, in the order of a hash of that band, so n
    lines cost under 2n pairs.
 3. Candidates are confirmed by the Jaccard similarity of their full shingle sets; confirmed links go to union-find.
 4. Buckets whose lines still lie in several components go on with further centres (see ``further``).
@@ -14,7 +14,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ PARITY = 8
 #: Digests that a task remembers.
 _SEEN = 500_000
 _EMPTY = np.uint64(2**64 - 1)
+#: Pairs of key and id: those of a cell on average, those that a task deals to cells at once, and those of a cell that are sorted at once.
+CELL, DEAL, HELD = 1 << 16, 1 << 20, 1 << 22
 
 
 def _raw(buf: bytes | np.ndarray) -> np.ndarray:
@@ -126,6 +128,73 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(rows, BANDS))], ["key", "id"])
 
 
+def _dealt(cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keys and ids of lines, packed: a row for each cell of keys, so that pairs are no rows in the shuffle."""
+
+    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pairs = np.stack([np.concatenate([p.column(k).to_numpy() for p in parts]) for k in (0, 1)], 1)
+        cell = (pairs[:, 0].view(B.U) % B.U(cells)).astype(np.uint16 if cells <= 1 << 16 else np.int64)
+        order = np.argsort(cell, kind="stable")
+        cell, pairs = cell[order], pairs[order]
+        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        ends = (np.concatenate([begin, [len(cell)]]) * 16).astype(np.int32)
+        blobs = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
+        return pa.RecordBatch.from_arrays([pa.array(cell[begin].astype(np.int64)), blobs], ["cell", "pairs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for rows in _keys(batches):
+            held.append(rows)
+            size += rows.num_rows
+            if size >= DEAL:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    return run
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell -> keys and ids, sorted by key inside a cell.
+
+    A cell of more than HELD pairs (a key with very many lines) comes in parts: of each key the row of the lowest rank comes
+    again in the next part, so that it links the parts' stars.
+    """
+    held: list[np.ndarray] = []
+    cell, size, most = None, 0, HELD
+
+    def ordered() -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        pairs = np.concatenate(held)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        keys, ids = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+        return keys, ids, pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
+
+    for batch in batches:
+        for at, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if at != cell and held:
+                yield ordered()[2]
+                held, size, most = [], 0, HELD
+            cell = at
+            held.append(np.frombuffer(blob.as_buffer(), np.int64).reshape(-1, 2))
+            size += len(held[-1])
+            if size > most:
+                keys, ids, rows = ordered()
+                yield rows
+                order = np.lexsort((B.mix(ids.view(B.U) ^ keys.view(B.U), 31), keys))
+                keys, ids = keys[order], ids[order]
+                first = np.concatenate([[True], keys[1:] != keys[:-1]])
+                held = [np.stack([keys[first], ids[first]], 1)]
+                size = len(held[0])
+                most = max(HELD, 2 * size)
+    if held:
+        yield ordered()[2]
+
+
+def _cell_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _stars(_unpacked(batches))
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key: pairs (and their key) of each row of a bucket with its centre, the row of the lowest rank, and with
     the next by rank.
@@ -223,12 +292,13 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path, schema = scratch.new_dir(spark, "lines"), "id long, more long, doc_id long, line_no long, line binary"
-    # dictionaries of texts and hashes would be built only to be given up
-    rows.mapInArrow(_lines, schema).write.options(**{"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in ("id", "more", "line")}}).parquet(path)
+    # dictionaries of texts and hashes would be built only to be given up; the table is read twice, so little is spent on packing it
+    scratch.passed(rows, _lines, schema).write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", **{f"parquet.enable.dictionary#{c}": "false" for c in ("id", "more", "line")}}).parquet(path)
     lines = _distinct_ids(spark.read.schema(schema).parquet(path))
     first = lines.where(f"line is not null AND length(line) >= {SHINGLE}").select("id", "line")
-    keyed = first.select("id", "line").mapInArrow(_keys, "key long, id long").repartition(F.col("key")).sortWithinPartitions("key")
-    stars = scratch.written(keyed.mapInArrow(_stars, "a long, b long, key long"), "stars")
+    cells = -(-spark.read.schema(schema).parquet(path).count() * BANDS // CELL) or 1
+    keyed = scratch.passed(first.select("id", "line"), _dealt(cells), "cell long, pairs binary").repartition(F.col("cell")).sortWithinPartitions("cell")
+    stars = scratch.written(scratch.passed(keyed, _cell_stars, "a long, b long, key long"), "stars")
     pairs = scratch.written(stars.select("a", "b").distinct(), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = scratch.written(first.join(needed, "id", "left_semi").dropDuplicates(["id"]), "texts")

@@ -223,3 +223,42 @@ def test_lines_of_one_template_match_brute_force(spark):
     assert len(links) > 500 and 300 < len(set(want)) < 1300
     got = line_dedup.fuzzy_lines(table(spark, list(enumerate(lines)))).collect()
     assert [r.keep_doc for r in sorted(got, key=lambda r: r.doc_id)] == want
+
+
+@pytest.mark.parametrize("held", [3, 50, 1 << 22])
+def test_cells_keep_buckets_connected(monkeypatch, held):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    lines = [bytes(rng.choice([97, 98, 99], 12)).decode() for _ in range(30)]
+    lines = [x + y for x in lines for y in ("", "a", "b é")] + [f"{lines[0]}{k}" for k in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, min(i + 20, len(lines))), pa.int64()), pa.array([x.encode() for x in lines[i : i + 20]], pa.binary())], ["id", "line"]) for i in range(0, len(lines), 20)]
+    members = {}
+    for b in line_dedup._keys(iter(batches)):
+        for key, at in zip(b["key"].to_pylist(), b["id"].to_pylist(), strict=True):
+            members.setdefault(key, set()).add(at)
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    monkeypatch.setattr(line_dedup, "DEAL", 500)
+    for cells in (1, 7, 100_000):
+        packed = list(line_dedup._dealt(cells)(iter(batches)))
+        assert sum(len(x.as_buffer()) for b in packed for x in b["pairs"]) == 16 * 16 * len(lines)
+        # pairs are not rows: a cell has one row each time that a task deals
+        assert all(len(set(b["cell"].to_pylist())) == b.num_rows <= cells for b in packed)
+        rows = pa.Table.from_batches(packed).sort_by("cell").combine_chunks().to_batches(max_chunksize=4)
+        links, total = {}, 0
+        for out in line_dedup._cell_stars(iter(rows)):
+            for a, b, key in zip(out["a"].to_pylist(), out["b"].to_pylist(), out["key"].to_pylist(), strict=True):
+                assert a < b and {a, b} <= members[key]
+                links.setdefault(key, []).append((a, b))
+                total += 1
+        for key, ids in members.items():
+            left, seen = [min(ids)], {min(ids)}
+            while left:
+                x = left.pop()
+                for a, b in links.get(key, []):
+                    if x in (a, b) and (y := a + b - x) not in seen:
+                        seen.add(y)
+                        left.append(y)
+            assert seen == ids
+        assert held < 100 or total <= 2 * 16 * len(lines)
