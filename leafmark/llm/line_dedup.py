@@ -289,8 +289,20 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     their shingles.  Lines of under 8 bytes are linked only when equal.  Null, empty and wordless texts have no lines; rows that
     repeat a doc_id have equal line numbers and one kept line if equal.  Null doc_ids come last.  No other column is read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    with scratch.unshuffled(docs.sparkSession):
+        lines, roots = _linked(rows, percent)
+    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "line_no")
+    of = further.rooted(lines.select("id", "doc_id", "line_no"), roots)
+    whole = of.groupBy("root").agg(F.min(place).alias("keep"), F.count("*").alias("n_lines")).where("n_lines > 1")
+    out = of.join(whole, "root", "left")
+    keep = F.coalesce("keep", place)
+    return out.select("doc_id", "line_no", F.coalesce("n_lines", F.lit(1)).cast("long").alias("n_lines"), F.nullif(keep["doc_id"], F.lit(2**63 - 1)).alias("keep_doc"), keep["line_no"].alias("keep_line"), (place == keep).alias("kept"))
+
+
+def _linked(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The lines of ``rows`` (doc_id, text): id, doc_id, line_no and more; and the root of each id (node) that has a link."""
+    spark = rows.sparkSession
     path, schema = scratch.new_dir(spark, "lines"), "id long, more long, doc_id long, line_no long, line binary"
     # dictionaries of texts and hashes would be built only to be given up; the table is read twice, so little is spent on packing it
     scratch.passed(rows, _lines, schema).write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", **{f"parquet.enable.dictionary#{c}": "false" for c in ("id", "more", "line")}}).parquet(path)
@@ -325,12 +337,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     sketches = scratch.written(texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "line").mapInArrow(_sketch, "id long, n long, bits array<long>, keys array<long>"), "sketches")
     roots = further.linked(members, sketches, roots, pairs, confirmed, percent, PARITY)
     scratch.dropped(stars, pairs, texts, open_, members, sketches)
-    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "line_no")
-    of = further.rooted(lines.select("id", "doc_id", "line_no"), roots)
-    whole = of.groupBy("root").agg(F.min(place).alias("keep"), F.count("*").alias("n_lines")).where("n_lines > 1")
-    out = of.join(whole, "root", "left")
-    keep = F.coalesce("keep", place)
-    return out.select("doc_id", "line_no", F.coalesce("n_lines", F.lit(1)).cast("long").alias("n_lines"), F.nullif(keep["doc_id"], F.lit(2**63 - 1)).alias("keep_doc"), keep["line_no"].alias("keep_line"), (place == keep).alias("kept"))
+    return lines, roots
 
 
 def _distinct_ids(lines: DataFrame) -> DataFrame:

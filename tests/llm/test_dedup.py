@@ -3,10 +3,11 @@
 import itertools
 import random
 import re
+import time
 
 import pytest
 
-from leafmark.llm import exact_dedup, line_dedup, near_dedup
+from leafmark.llm import exact_dedup, line_dedup, near_dedup, scratch
 
 SF = "/root/testdata/sf0.001"
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
@@ -262,3 +263,34 @@ def test_cells_keep_buckets_connected(monkeypatch, held):
                         left.append(y)
             assert seen == ids
         assert held < 100 or total <= 2 * 16 * len(lines)
+
+
+def test_lines_keep_no_shuffle_files_of_finished_steps(spark, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    written, left = scratch.written, set()
+
+    def shuffles():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return set(re.findall(r"shuffle_\d+", names))
+
+    def watched(*args):
+        out, end = written(*args), time.monotonic() + 5
+        # files are deleted shortly after a query; without that they wait for the driver's garbage collection
+        while not left and shuffles() - before:
+            if time.monotonic() > end:
+                left.update(shuffles() - before)
+            time.sleep(0.02)
+        return out
+
+    long = "the quick brown fox jumps over the lazy dog and runs far away into the dark green wood"
+    docs = table(spark, [(k, f"{long}\n{long} {k}\nother line {k % 7}") for k in range(40)]).repartition(3).cache()
+    assert docs.count() == 40
+    before, was = shuffles(), spark.conf.get(name, None)
+    monkeypatch.setattr(scratch, "written", watched)
+    lines = line_dedup.fuzzy_lines(docs)
+    assert not left
+    # the result is built lazily: it and the input may be read again
+    assert spark.conf.get(name, None) == was
+    first = sorted(lines.collect())
+    assert sorted(lines.collect()) == first and len(first) == 120
+    assert docs.count() == docs.unpersist().count() == 40
