@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..operators.packing import by_page, extreme, keyed, ordered
 
 LINE = "page long, n long, x0 int, y0 int, x1 int, y1 int, text string, conf double, zone string"
 
@@ -68,18 +72,62 @@ def confidence(c: Column) -> Column:
 def lines_of_words(words: DataFrame, page: list[str]) -> DataFrame:
     """Word table (block, par, line, word, left, top, width, height, text, conf) to lines; empty words and conf -1 are passed over."""
     rows = words.where("trim(text) <> '' AND conf >= 0")
-    grouped = rows.groupBy(*page, "block", "par", "line").agg(
-        F.min("left").alias("x0"), F.min("top").alias("y0"), F.max(F.col("left") + F.col("width")).alias("x1"), F.max(F.col("top") + F.col("height")).alias("y1"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("left", "word", "text"))), lambda w: w["text"]), " ").alias("text"), F.bround(F.avg("conf") / 100, 3).alias("conf"))
-    return grouped.withColumn("n", F.row_number().over(Window.partitionBy(*page).orderBy("y0", "x0", "block", "par", "line")).cast("long"))
+    rows = rows.select(*page, "block", "par", "line", "word", "left", "top", (F.col("left") + F.col("width")).alias("right"), (F.col("top") + F.col("height")).alias("bottom"), "text", F.col("conf").cast("double").alias("conf"))
+    kind = dict(rows.dtypes)
+
+    def work(t: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, list]:
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        places = [k for c in ("block", "par", "line") for k in keyed(t.column(c))]
+        order = ordered([number, *places, *keyed(t.column("left")), *keyed(t.column("word")), *keyed(t.column("text"))])
+        if order is not None:
+            t, number, places = t.take(pa.array(order)), number[order], [k[order] for k in places]
+        new = np.zeros(len(number), bool)
+        new[:1] = True
+        for k in (number, *places):
+            new[1:] |= k[1:] != k[:-1]
+        starts = np.flatnonzero(new)
+        box = {n: extreme(t.column(c), starts, low) for n, c, low in (("x0", "left", True), ("y0", "top", True), ("x1", "right", False), ("y1", "bottom", False))}
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(number)), pa.int32()), t.column("text").combine_chunks()), " ")
+        mean = np.add.reduceat(t.column("conf").to_numpy(), starts) / np.diff(np.append(starts, len(number)))
+        lines = [t.column(c).combine_chunks().take(pa.array(starts)) for c in ("block", "par", "line")]
+        # block, par and line come sorted; their order within the page settles ties
+        again = ordered([number[starts], *keyed(box["y0"]), *keyed(box["x0"])])
+        again = np.arange(len(starts)) if again is None else again
+        own = number[starts][again]
+        n = np.arange(len(own)) - np.searchsorted(own, own) + 1
+        return own, [x.take(pa.array(again)) for x in (*lines, box["x0"], box["y0"], box["x1"], box["y1"], text, pa.array(mean))] + [n.astype(np.int64)]
+
+    schema = f"block {kind['block']}, par {kind['par']}, line {kind['line']}, x0 {kind['left']}, y0 {kind['top']}, x1 {kind['right']}, y1 {kind['bottom']}, text string, conf double, n long"
+    return by_page(rows, page, work, schema).withColumn("conf", F.bround(F.col("conf") / 100, 3))
 
 
 def lines_of_symbols(symbols: DataFrame, page: list[str]) -> DataFrame:
-    """Symbols (seq, text, brk, x0, y0, x1, y1) of a cloud engine to lines: a space after breaks 1 and 2, a new line after 3 and 5."""
-    order = Window.partitionBy(*page).orderBy("seq")
-    rows = symbols.withColumn("line", F.coalesce(F.sum(F.col("brk").isin(3, 5).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    piece = F.concat("text", F.when(F.col("brk").isin(1, 2), " ").otherwise(""))
-    return rows.groupBy(*page, "line").agg(F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", piece.alias("p")))), lambda x: x["p"]), "")).alias("text"), *[f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+    """Symbols (seq, text, brk, x0, y0, x1, y1) of a cloud engine to lines: a space after breaks 1 and 2, a new line after 3 and 5.
+
+    Symbols are rows, or arrays of structs in a column ``symbols``, as an engine's answer has them; arrays cost far less.
+    """
+    fields = ["seq", "text", "brk", "x0", "y0", "x1", "y1"]
+    rows = symbols.select(*page, *(["symbols"] if "symbols" in symbols.columns else fields))
+    kind = dict(rows.selectExpr("inline(symbols)").dtypes if "symbols" in symbols.columns else rows.dtypes)
+
+    def work(t: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, list]:
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        order = ordered([number, *keyed(t.column("seq"))])
+        t = t if order is None else t.take(pa.array(order))
+        brk = pc.fill_null(t.column("brk"), 0).to_numpy()
+        over = np.cumsum(np.isin(brk, (3, 5)))
+        line = np.concatenate([[0], over[:-1]])  # breaks before the row, then those of its own page
+        line -= line[bounds[:-1]][number]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (number[1:] != number[:-1])
+        starts = np.flatnonzero(new)
+        lists = lambda c: pa.ListArray.from_arrays(pa.array(np.append(starts, len(line)), pa.int32()), c)
+        text = t.column("text").combine_chunks()
+        piece = pc.fill_null(pc.binary_join_element_wise(text, pa.array(np.where(np.isin(brk, (1, 2)), " ", "")), ""), "")
+        text = pc.utf8_trim(pc.binary_join(lists(piece), ""), " ")
+        return number[starts], [line[starts].astype(np.int64), text, *(extreme(t.column(c), starts, low) for c, low in (("x0", True), ("y0", True), ("x1", False), ("y1", False)))]
+
+    return by_page(rows, page, work, "line long, text string, " + ", ".join(f"{c} {kind[c]}" for c in ("x0", "y0", "x1", "y1")))
 
 
 def unmarked(c: Column) -> Column:

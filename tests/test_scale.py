@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from leafmark.operators import citations
+from leafmark.operators import citations, pdf_lines
+from leafmark.sources import engines
 
 
 def _texts(n, seed):
@@ -25,3 +26,72 @@ def test_overlaps_of_small_and_large_corpora_are_those_of_brute_force(spark, sla
         assert len(rows) == len(want) and set(rows) == want
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "any_value" not in plan and "first(" not in plan  # words of both sides must not go through the shuffle of pairs
+
+
+def _exchanged(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_symbols_of_pages_in_any_order_are_packed_before_the_shuffle(spark):
+    draw, rows = random.Random(3), []
+    for page in [*range(40), None]:
+        rows += [(page, k, draw.choice(["a", "b ", "", "ਸਤਿ", None]), draw.choice([0, 0, 0, 1, 2, 3, 5, None]), draw.choice([k, None]), 0, k + 9, 30) for k in range(draw.randint(1, 30))]
+    draw.shuffle(rows)
+    want = {}
+    for page in {r[0] for r in rows}:
+        line = 0
+        for _, k, text, brk, x0, _, x1, _ in sorted((r for r in rows if r[0] == page), key=lambda r: r[1]):
+            own = want.setdefault((page, line), ["", [], []])
+            own[0] += "" if text is None else text + " " * (brk in (1, 2))
+            own[1] += [x0] * (x0 is not None)
+            own[2].append(x1)
+            line += brk in (3, 5)
+    kind = "page long, seq long, text string, brk int, x0 int, y0 int, x1 int, y1 int"
+    got = engines.lines_of_symbols(spark.createDataFrame(rows, kind).repartition(7), ["page"])
+    assert {(r.page, r.line): (r.text, r.x0, r.x1) for r in got.collect()} == {k: (t.strip(" "), min(a, default=None), max(b)) for k, (t, a, b) in want.items()}
+    assert "Window" not in _exchanged(got) and "seq" not in _exchanged(got).split("Exchange")[0]
+    nested = spark.createDataFrame([(p, [dict(zip("seq text brk x0 y0 x1 y1".split(), r[1:], strict=True)) for r in rows if r[0] == p]) for p in range(40)], "page long, symbols array<struct<seq:long,text:string,brk:int,x0:int,y0:int,x1:int,y1:int>>")
+    again = engines.lines_of_symbols(nested.unionByName(nested.limit(0)), ["page"]).collect()
+    assert sorted(tuple(r) for r in again) == sorted(tuple(r) for r in got.where("page is not null").collect())
+
+
+def test_words_of_pages_in_any_order_make_the_lines_of_their_boxes(spark):
+    draw = random.Random(4)
+    rows = [(p, draw.choice([1, 2, None]), 0, draw.randint(0, 3), w, draw.randint(0, 9) * 10, draw.randint(0, 4), 7, 5, draw.choice(["x", "yy", " "]), draw.choice([-1.0, 50.0, 75.5])) for p in range(30) for w in range(25)]
+    draw.shuffle(rows)
+    kept = [r for r in rows if r[9].strip() and r[10] >= 0]
+    want = {}
+    for p in range(30):
+        groups = {}
+        for r in (r for r in kept if r[0] == p):
+            groups.setdefault((r[1] is not None, r[1], r[3]), []).append(r)
+        lines = [(min(r[6] for r in g), min(r[5] for r in g), k, " ".join(r[9] for r in sorted(g, key=lambda r: (r[5], r[4], r[9]))), max(r[5] + r[7] for r in g)) for k, g in groups.items()]
+        lines.sort(key=lambda x: (x[0], x[1], x[2][0], x[2][1] or 0, x[2][2]))
+        want |= {(p, n): (k[1], k[2], text, x1) for n, (_, _, k, text, x1) in enumerate(lines, 1)}
+    kind = "page long, block int, par int, line int, word int, left int, top int, width int, height int, text string, conf double"
+    got = engines.lines_of_words(spark.createDataFrame(rows, kind).repartition(5), ["page"])
+    assert {(r.page, r.n): (r.block, r.line, r.text, r.x1) for r in got.collect()} == want
+    assert "collect_list" not in _exchanged(got) and "Window" not in _exchanged(got)
+
+
+def test_pdf_lines_join_runs_as_they_were_joined_one_by_one(spark):
+    draw = random.Random(5)
+    rows = [(p, float(draw.randint(0, 300)), 700.0 - draw.randint(0, 9) * 1.7, draw.choice([9.0, 10.5]), draw.random() < 0.4, draw.choice(["", " ", "ab", "c ", " d", "long word"]), draw.choice([None, 20.0]), draw.choice([None, 0.0, 3.0])) for p in range(25) for _ in range(40)]
+    want = {}
+    for p in range(25):
+        lines = []
+        for r in sorted((r for r in rows if r[0] == p), key=lambda r: (-r[2], r[1])):
+            if lines and abs(lines[-1][0][2] - r[2]) <= 2.5:
+                lines[-1].append(r)
+            else:
+                lines.append([r])
+        for n, line in enumerate(lines, 1):
+            own = sorted(line, key=lambda r: r[1])
+            text = pdf_lines.joined([pdf_lines.Run(r[1], r[3], r[5], r[6], r[7]) for r in own])
+            want[p, n] = (line[0][2], own[0][1], sum(len(r[5]) for r in own if r[4]) > sum(len(r[5]) for r in own) / 2, text)
+    frame = spark.createDataFrame(rows, "page long, x double, y double, size double, italic boolean, text string, width double, space double").coalesce(1)
+    got = pdf_lines.lines_of(frame, ["page"])
+    assert {(r.page, r.n): (r.y, r.x0, r.italic, r.text) for r in got.collect()} == want
+    assert "FlatMapGroups" not in _exchanged(got)
+    with_ = pdf_lines.with_margin(got, ["page"])
+    assert sorted((r.page, r.margin) for r in with_.select("page", "margin").distinct().where("margin is not null").collect()) == sorted(tuple(r) for r in pdf_lines.left_margin(got, ["page"]).collect())
