@@ -1,22 +1,36 @@
 """Text runs of born-digital pages to lines and paragraphs, and the furniture around them.
 
 Lines and paragraphs compare with an anchor (a line's first run, a paragraph's first line), not with the row before, so they
-are grouped maps over one page at a time.
+are made of whole pages, many at a time.
 """
 
 from __future__ import annotations
 
 import statistics
+from typing import NamedTuple
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .packing import by_page, ordered
 
 # Units are points.
 SAME_LINE, CHAR_WIDTH, SPACE, EXACT_SPACE, INDENT, GAP, BIG = 2.5, 0.46, 0.25, 0.12, 6.0, 1.6, 1.15
 EDGE_LINES, HEAD_CHARS, HEAD_SHARE, STAMP_CHARS, STAMP_SHARE, HEAD_REPEATS = 2, 80, 0.30, 40, 0.60, 3
 
 
+class Run(NamedTuple):
+    x: float
+    size: float
+    text: str
+    width: float
+    space: float
+
+
 def needs_space(prev_x: Column, prev_len: Column, prev_size: Column, prev_width: Column, prev_space: Column, x: Column) -> Column:
     """Whether a gap between two runs is a space: exact where the font states widths, else estimated."""
     exact = x - (prev_x + prev_width) > F.when(F.coalesce(prev_space, F.lit(0.0)) > 0, prev_space * 0.5).otherwise(EXACT_SPACE * prev_size)
@@ -37,25 +51,59 @@ def joined(runs: list) -> str:
 
 
 def lines_of(runs: DataFrame, page: list[str]) -> DataFrame:
-    """runs: page key, x, y (up), size, italic, text, width, space -> one row a line: n, y, x0, size, italic, text."""
-    keys = ", ".join(f"{k} {t}" for k, t in runs.dtypes if k in page)
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        lines: list[list] = []
-        for r in f.sort_values(["y", "x"], ascending=[False, True], kind="stable").itertuples():
-            if lines and abs(lines[-1][0].y - r.y) <= SAME_LINE:
-                lines[-1].append(r)
-            else:
-                lines.append([r])
-        rows = []
-        for n, line in enumerate(lines, 1):
-            own = sorted(line, key=lambda r: r.x)
-            ink = sum(len(r.text) for r in own)
-            slanted = sum(len(r.text) for r in own if r.italic) > ink / 2
-            rows.append((*(f[k].iloc[0] for k in page), n, float(line[0].y), float(own[0].x), float(statistics.median(r.size for r in own)), slanted, joined(own)))
-        return pd.DataFrame(rows, columns=[*page, "n", "y", "x0", "size", "italic", "text"])
+    """runs: page key, x, y (up), size, italic, text, width, space -> one row a line: n, y, x0, size, italic, text.
 
-    return runs.groupBy(*page).applyInPandas(run, f"{keys}, n long, y double, x0 double, size double, italic boolean, text string")
+    Runs are rows, or arrays of structs in a column ``runs``.
+    """
+    fields = ["x", "y", "size", "italic", "text", "width", "space"]
+
+    def work(t: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, list]:
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        x, y = (t.column(c).to_numpy() for c in ("x", "y"))
+        order = np.lexsort((x, -y, number))
+        page_of, ys, firsts = number[order].tolist(), y[order].tolist(), []
+        at, anchor = -1, 0.0
+        for i, v in enumerate(ys):  # a line's runs are near its first one, not near each other
+            if page_of[i] != at or not abs(anchor - v) <= SAME_LINE:
+                at, anchor = page_of[i], v
+                firsts.append(i)
+        starts = np.array(firsts)
+        line = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ys))))
+        top, own = np.array(ys)[starts], number[order][starts]
+        order = order[np.lexsort((x[order], line))]
+        t = t.take(pa.array(order))
+        texts = t.column("text").combine_chunks()
+        x, size, width, space = (t.column(c).to_numpy() for c in ("x", "size", "width", "space"))
+        chars = pc.utf8_length(texts).to_numpy().astype(np.int64)
+        slanted = pc.fill_null(t.column("italic"), False).to_numpy()
+        ink = np.add.reduceat(chars, starts)
+        tilted = np.add.reduceat(np.where(slanted, chars, 0), starts) > ink / 2
+        ends = np.append(starts[1:], len(line))
+        sizes = size[np.lexsort((size, line))]
+        middle = (sizes[starts + (ends - starts - 1) // 2] + sizes[starts + (ends - starts) // 2]) / 2
+        known = ~np.isnan(width)
+        end = x + np.where(known, width, chars * size * CHAR_WIDTH)
+        least = np.where(known, np.where(np.isnan(space) | (space == 0), EXACT_SPACE * size, space * 0.5), SPACE * size)
+        gap = np.zeros(len(line), bool)
+        gap[1:] = (x[1:] - end[:-1] > least[:-1]) & (line[1:] == line[:-1])
+        gap[1:] &= ~pc.starts_with(texts, " ").to_numpy(zero_copy_only=False)[1:] & ~pc.ends_with(texts, " ").to_numpy(zero_copy_only=False)[:-1]
+        pieces = pc.binary_join_element_wise(pa.array(np.where(gap, " ", "")), texts, "")
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(line)), pa.int32()), pieces), "").to_pylist()
+        for k in np.unique(line[chars == 0]).tolist():  # what an empty run leaves at the end of the text before it is told run by run
+            rows = range(starts[k], ends[k])
+            whole[k] = joined([Run(float(x[i]), float(size[i]), texts[i].as_py(), float(width[i]), float(space[i])) for i in rows])
+        n = np.arange(len(own)) - np.searchsorted(own, own) + 1
+        return own, [n.astype(np.int64), top, x[starts], middle, tilted, [" ".join(w.split()) for w in whole]]
+
+    return by_page(_fields(runs, page, "runs", fields), page, work, "n long, y double, x0 double, size double, italic boolean, text string")
+
+
+def _fields(rows: DataFrame, page: list[str], nested: str, fields: list[str]) -> DataFrame:
+    """Page keys and these fields; numbers are doubles."""
+    cast = lambda get: [(F.col(c) if c in ("text", "italic") else get(c).cast("double")).alias(c) for c in fields]
+    if nested not in rows.columns:
+        return rows.select(*page, *cast(F.col))
+    return rows.select(*page, F.col(nested).cast("array<struct<" + ",".join(f"{c}:{'string' if c == 'text' else 'boolean' if c == 'italic' else 'double'}" for c in fields) + ">>").alias(nested))
 
 
 def left_margin(lines: DataFrame, page: list[str]) -> DataFrame:
@@ -66,6 +114,15 @@ def left_margin(lines: DataFrame, page: list[str]) -> DataFrame:
     return best.select(*page, F.when(F.col("b.c") > 1, F.col("b.s")).otherwise(F.col("low")).alias("margin"))
 
 
+def with_margin(lines: DataFrame, page: list[str]) -> DataFrame:
+    """``lines`` with their page's left margin, null where no line is long enough; the lines are made once."""
+    same, whole = Window.partitionBy(*page, "__s"), Window.partitionBy(*page)
+    rows = lines.withColumn("__s", F.when(F.length("text") > 20, F.bround(F.col("x0") / 2) * 2))
+    rows = rows.withColumn("__b", F.when(F.col("__s").isNotNull(), F.struct(F.count("*").over(same).alias("c"), (-F.min("n").over(same)).alias("first"), F.col("__s").alias("s"))))
+    best = F.max("__b").over(whole)
+    return rows.withColumn("margin", F.when(best["c"] > 1, best["s"]).otherwise(F.min("__s").over(whole))).drop("__s", "__b")
+
+
 def is_spread(lines: DataFrame, page: list[str]) -> DataFrame:
     """Whether 80 % of the long lines start at 380 or beyond: the second page of a spread."""
     return lines.where(F.length("text") > 20).groupBy(*page).agg((F.avg((F.col("x0") >= 380).cast("int")) >= 0.8).alias("spread"))
@@ -77,30 +134,42 @@ def paragraphs_of(lines: DataFrame, page: list[str], body_size: float, italic_qu
     A paragraph ends on another style, a size more than 1 apart from its first line's, a gap over 1.6 usual ones, or an indent.
     With ``italic_quotes`` slanted lines are quotations; else a slanted line that opens a paragraph, shaped like a title, is a heading.
     """
-    keys = ", ".join(f"{k} {t}" for k, t in lines.dtypes if k in page)
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        own = [r for r in f.sort_values("n").itertuples() if r.text]
-        gaps = [a.y - b.y for a, b in zip(own, own[1:], strict=False)]
+    def paragraphs(own: list[tuple]) -> list[list]:
+        gaps = [a[0] - b[0] for a, b in zip(own, own[1:], strict=False)]
         usual = statistics.median(gaps) if gaps else 0.0
-        out: list[dict] = []
-        for i, r in enumerate(own):
+        out: list[list] = []
+        for i, (_, x0, size, italic, text, margin) in enumerate(own):
             wide = bool(usual) and i > 0 and gaps[i - 1] > usual * GAP
-            big = r.size >= body_size * BIG and len(r.text) < 80
-            inside = r.x0 > r.margin + INDENT
-            if italic_quotes and r.italic:
+            big = size >= body_size * BIG and len(text) < 80
+            inside = x0 > margin + INDENT
+            if italic_quotes and italic:
                 style = "quote"
             else:
-                title = not italic_quotes and r.italic and (not out or wide or inside) and len(r.text) < 80 and r.text[-1] not in ".,;:"
+                title = not italic_quotes and italic and (not out or wide or inside) and len(text) < 80 and text[-1] not in ".,;:"
                 style = "heading" if big or title else "body"
-            if not out or style != out[-1]["style"] or abs(r.size - out[-1]["size"]) > 1 or wide or style == "body" and inside:
-                out.append({"style": style, "italic": r.italic, "size": r.size, "text": r.text})
+            if not out or style != out[-1][0] or abs(size - out[-1][2]) > 1 or wide or style == "body" and inside:
+                out.append([style, italic, size, [text]])
             else:
-                out[-1]["text"] += ("" if out[-1]["text"].endswith("-") else " ") + r.text
-        head = [f[k].iloc[0] for k in page]
-        return pd.DataFrame([(*head, i + 1, p["style"], p["italic"], p["size"], " ".join(p["text"].split())) for i, p in enumerate(out)], columns=[*page, "para", "style", "italic", "size", "text"])
-
-    return lines.groupBy(*page).applyInPandas(run, f"{keys}, para long, style string, italic boolean, size double, text string")
+                out[-1][3].append(text if out[-1][3][-1].endswith("-") else " " + text)
+        return out
+
+    def work(t: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, list]:
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        order = ordered([number, t.column("n").to_numpy()])
+        t = t if order is None else t.take(pa.array(order))
+        fields = [t.column(c).to_numpy().tolist() for c in ("y", "x0", "size")] + [t.column(c).to_pylist() for c in ("italic", "text")] + [t.column("margin").to_numpy().tolist()]
+        rows = list(zip(*fields, strict=True))
+        pages, out = [], []
+        for k, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            found = paragraphs([r for r in rows[lo:hi] if r[4]])
+            pages += [k] * len(found)
+            out += [(i, style, bool(italic), size, " ".join("".join(text).split())) for i, (style, italic, size, text) in enumerate(found, 1)]
+        kinds = (pa.int64(), pa.string(), pa.bool_(), pa.float64(), pa.string())
+        return np.array(pages, np.int64), [pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)]
+
+    rows = lines.select(*page, F.col("n").cast("long").alias("n"), *[F.col(c).cast("double").alias(c) for c in ("y", "x0", "size")], "italic", "text", F.col("margin").cast("double").alias("margin"))
+    return by_page(rows, page, work, "para long, style string, italic boolean, size double, text string")
 
 
 def furniture(lines: DataFrame) -> dict[str, DataFrame]:
