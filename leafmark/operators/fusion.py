@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,23 +75,52 @@ def positional_vote(lines: DataFrame) -> DataFrame:
     """``lines`` with ``readings`` array<struct<items, weight, conf>> of one length, the pivot first -> text, agreement, same, columns, voters.
 
     Each position goes to the item whose readings weigh most together; the pivot is heavier by a hair; agreement is the share
-    of unanimous positions, null for a single witness.  Everything happens inside the row.
+    of unanimous positions, null for a single witness.  Positions of many lines are voted on at once.
     """
-    heavier = F.transform("readings", lambda r, k: F.struct(r["items"].alias("items"), (r["weight"] * F.coalesce(r["conf"], F.lit(DEFAULT_CONF)) + F.when(k == 0, 1e-6).otherwise(0.0)).alias("w"), k.alias("k")))
-    rows = lines.withColumn("readings", heavier)
-
-    def at(i: Column) -> Column:
-        def support(item: Column) -> Column:
-            return F.bround(F.aggregate("readings", F.lit(0.0), lambda s, r: s + F.when(F.get(r["items"], i) == item, r["w"]).otherwise(0.0)), 9)
-
-        return F.array_max(F.transform("readings", lambda r: F.struct(support(F.get(r["items"], i)).alias("w"), (-r["k"]).alias("k"), F.get(r["items"], i).alias("g"))))["g"]
-
-    one = F.get("readings", F.lit(0))["items"]
-    each = F.sequence(F.lit(0), F.size(one) - 1)
-    rows = rows.withColumn("text", F.when(F.size(one) > 0, F.array_join(F.transform(each, at), "")).otherwise(""))
-    rows = rows.withColumn("same", F.when(F.size(one) > 0, F.size(F.filter(each, lambda i: F.forall("readings", lambda r: F.get(r["items"], i) == F.get(one, i))))).otherwise(0).cast("long"))
-    rows = rows.withColumn("columns", F.size(one).cast("long")).withColumn("voters", F.size("readings"))
-    return rows.withColumn("agreement", F.when(F.col("voters") > 1, F.bround(F.col("same") / F.col("columns"), 3))).drop("readings")
+    heavier = F.transform("readings", lambda r, k: F.struct(r["items"].alias("items"), (r["weight"] * F.coalesce(r["conf"], F.lit(DEFAULT_CONF)) + F.when(k == 0, 1e-6).otherwise(0.0)).cast("double").alias("w")))
+    rows = lines.withColumn("won", _won(heavier))
+    rows = rows.withColumn("text", F.col("won.text")).withColumn("same", F.col("won.same"))
+    rows = rows.withColumn("columns", F.size(F.get("readings", F.lit(0))["items"]).cast("long")).withColumn("voters", F.size("readings"))
+    return rows.withColumn("agreement", F.when(F.col("voters") > 1, F.bround(F.try_divide(F.col("same").cast("double"), F.col("columns")), 3))).drop("readings", "won")
+
+
+def _won(readings: Column) -> Column:
+    """struct(text, same): the best supported item of each place of the pivot, and how many places all readings agree on."""
+
+    @F.arrow_udf("text string, same long")
+    def run(col: pa.Array) -> pa.Array:
+        given = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+        first = np.cumsum(given) - given  # of each line's readings
+        items, weights = col.flatten().flatten()
+        sizes = pc.fill_null(pc.list_value_length(items), 0).to_numpy(zero_copy_only=False)
+        begin = np.append(np.cumsum(sizes) - sizes, 0)
+        sizes, w = np.append(sizes, 0), np.append(weights.to_numpy(zero_copy_only=False), np.nan)
+        coded = pc.dictionary_encode(items.flatten())
+        codes = np.append(pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False), -1)
+        n = sizes[np.where(given > 0, first, -1)]
+        line = np.repeat(np.arange(len(given)), n)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+        most = int(given.max()) if len(given) else 0
+        has, own, heavy = [], [], []
+        for k in range(most):
+            reading = np.where(k < given, first + k, -1)[line]
+            has.append(reading >= 0)
+            own.append(codes[np.where(place < sizes[reading], begin[reading] + place, -1)])
+            heavy.append(w[reading])
+        best, winner, same = np.full(len(line), -np.inf), np.full(len(line), -1, codes.dtype), np.ones(len(line), bool)
+        for k in range(most):
+            support = np.zeros(len(line))
+            for j in range(most):
+                support += np.where((own[j] == own[k]) & (own[k] >= 0) & has[j], heavy[j], 0.0)
+            support = np.where(np.isnan(support), -np.inf, np.rint(support * 1e9))  # to nine places, as sums of parts differ by a hair
+            better = has[k] & ((support > best) | (k == 0))
+            best, winner = np.where(better, support, best), np.where(better, own[k], winner)
+            same &= ~has[k] | ((own[k] == own[0]) & (own[k] >= 0))
+        chosen = pc.fill_null(coded.dictionary.take(pa.array(winner, mask=winner < 0)), "")
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), chosen), "")
+        return pa.StructArray.from_arrays([text, pa.array(np.bincount(line[same], minlength=len(given)).astype(np.int64))], ["text", "same"])
+
+    return run(readings)
 
 
 def stamped(readings: DataFrame, line: list[str]) -> DataFrame:
