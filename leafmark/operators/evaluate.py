@@ -3,23 +3,53 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .alignment import distance
 
 
 def error_rates(rows: DataFrame) -> DataFrame:
     """rows: engine, kind, ref, hyp -> by engine and by engine and kind: lines, edits, reference size, word edits and size."""
-    r, h = X.graphemes(X.normalise(F.col("ref"))), X.graphemes(X.normalise(F.col("hyp")))
-    wr, wh = X.words(F.col("ref")), X.words(F.col("hyp"))
-    one = rows.select("engine", "kind", X.levenshtein_items(r, h).alias("edits"), F.size(r).alias("chars"), X.levenshtein_items(wr, wh).alias("word_edits"), F.size(wr).alias("words"))
+    one = rows.select("engine", "kind", _compared(F.col("ref"), F.col("hyp")).alias("c")).select("engine", "kind", "c.*")
     sums = [F.count("*").alias("lines"), *(F.sum(c).alias(c) for c in ("edits", "chars", "word_edits", "words"))]
     return one.groupingSets([["engine"], ["engine", "kind"]], "engine", "kind").agg(*sums)
 
 
+_SPACES, _MARKS = re.compile("[ \\t\\n\\x0b\\f\\r]+"), str.maketrans({**{c: None for c in X.DROPPED}, **dict(zip(X.QUOTES_FROM, X.QUOTES_TO, strict=True))})
+
+
+def _compared(ref: Column, hyp: Column) -> Column:
+    """struct(edits, chars, word_edits, words) of two texts, in clusters and words of their normalised forms.
+
+    Texts of characters below U+0300 are normalised here, and their clusters are their characters; others come normalised and cut.
+    """
+
+    @F.arrow_udf("edits int, chars int, word_edits int, words int")
+    def run(refs: pa.Array, hyps: pa.Array, ref_norms: pa.Array, hyp_norms: pa.Array, ref_parts: pa.Array, hyp_parts: pa.Array) -> pa.Array:
+        def side(text, norm, parts):
+            if norm is None:
+                norm = parts = _SPACES.sub(" ", (text or "").translate(_MARKS)).strip(" ")
+            return parts, [w for x in norm.split(" ") if (w := x.strip(X.PUNCTUATION))]
+
+        out = []
+        for a, b, *rest in zip(*(c.to_pylist() for c in (refs, hyps, ref_norms, hyp_norms, ref_parts, hyp_parts)), strict=True):
+            (r, rw), (h, hw) = side(a, *rest[::2]), side(b, *rest[1::2])
+            if type(r) is not type(h):
+                r, h = list(r), list(h)
+            out.append((0, len(r), 0, len(rw)) if r == h else (distance(r, h), len(r), 0 if rw == hw else distance(rw, hw), len(rw)))
+        return pa.StructArray.from_arrays([pa.array([x[k] for x in out], pa.int32()) for k in range(4)], ["edits", "chars", "word_edits", "words"])
+
+    wide = [F.coalesce(c.rlike(r"[^\x00-\u02FF]"), F.lit(False)) for c in (ref, hyp)]
+    norms = [F.when(w, X.normalise(c)) for w, c in zip(wide, (ref, hyp), strict=True)]
+    return run(ref, hyp, *norms, *[F.when(w, X.graphemes(X.normalise(c))) for w, c in zip(wide, (ref, hyp), strict=True)])
+
+
 def match_quality(rows: DataFrame) -> DataFrame:
     """rows: engine, truth, found (line ids or null) -> right, wrong, none, false, and precision and recall in ppm."""
     right = F.count_if(F.col("truth").isNotNull() & (F.col("found") == F.col("truth")))
