@@ -1,10 +1,11 @@
 """Steps that must hold on large tables: the same rows by every path, and little shuffled."""
 
 import random
+import time
 
 import pytest
 
-from leafmark.operators import citations, pdf_lines
+from leafmark.operators import alignment, citations, evaluate, fusion, pdf_lines
 from leafmark.sources import engines
 
 
@@ -95,3 +96,66 @@ def test_pdf_lines_join_runs_as_they_were_joined_one_by_one(spark):
     assert "FlatMapGroups" not in _exchanged(got)
     with_ = pdf_lines.with_margin(got, ["page"])
     assert sorted((r.page, r.margin) for r in with_.select("page", "margin").distinct().where("margin is not null").collect()) == sorted(tuple(r) for r in pdf_lines.left_margin(got, ["page"]).collect())
+
+
+def _edits(a, b):
+    """Edit script by a whole table, ties as alignment states them."""
+    d = [[i + j if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+    i, j, out = len(a), len(b), []
+    while i or j:
+        if i and j and d[i][j] == d[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            i, j = i - 1, j - 1
+            out += [("replace", i, j)] if a[i] != b[j] else []
+        elif i and d[i][j] == d[i - 1][j] + 1:
+            i -= 1
+            out.append(("delete", i, j))
+        else:
+            j -= 1
+            out.append(("insert", i, j))
+    return out[::-1]
+
+
+def test_edit_scripts_of_few_edits_need_no_whole_table():
+    draw = random.Random(6)
+    for t in range(600):
+        a = [draw.choice("ab" if t % 3 else "abcde") for _ in range(draw.randint(0, 20))]
+        b = list(a) if t % 2 else [draw.choice("abc") for _ in range(draw.randint(0, 20))]
+        for _ in range(draw.randint(0, 4)):
+            b[draw.randint(0, len(b)) : draw.randint(0, len(b))] = draw.choice(["", "c", "ab"])
+        assert alignment.edit_ops(a, b) == alignment.edit_ops("".join(a), "".join(b)) == _edits(a, b)
+        assert alignment.distance(a, b) == len(_edits(a, b))
+    a = "".join(draw.choice("abcdefgh") for _ in range(20_000))
+    b = a[:5_000] + "x" + a[5_001:15_000] + a[15_002:]
+    began = time.time()
+    assert [o[0] for o in alignment.edit_ops(a, b)] == ["replace", "delete", "delete"]
+    assert time.time() - began < 4  # a table has 400 million cells
+
+
+def test_positional_votes_of_many_lines(spark):
+    draw, rows = random.Random(7), []
+    for n in range(60):
+        k, size = draw.randint(0, 4), draw.randint(0, 12)
+        rows.append((n, [([draw.choice(["a", "b", "ਸਤਿ", None]) for _ in range(size + draw.randint(-1, 1) * (i > 0))] if size else [], draw.choice([0.5, 0.7]), draw.choice([None, 0.9])) for i in range(k)]))
+    got = fusion.positional_vote(spark.createDataFrame(rows, "n int, readings array<struct<items:array<string>,weight:double,conf:double>>"))
+    assert "arrow" in got._jdf.queryExecution().executedPlan().toString().lower()
+    found = {r.n: (r.text, r.same) for r in got.collect()}
+    for n, readings in rows:
+        text, same = "", 0
+        for i in range(len(readings[0][0]) if readings else 0):
+            at = [r[0][i] if i < len(r[0]) else None for r in readings]
+            w = [r[1] * (0.8 if r[2] is None else r[2]) + 1e-6 * (not k) for k, r in enumerate(readings)]
+            support = [round(sum(w[j] for j in range(len(at)) if at[j] == x and x is not None), 9) for x in at]
+            text += max(zip(support, (-k for k in range(len(at))), at, strict=True), key=lambda s: s[:2])[2] or ""
+            same += None not in at and len(set(at)) == 1
+        assert found[n] == (text, same)
+
+
+def test_error_rates_of_plain_and_other_scripts(spark):
+    pairs = [("a  “b” c`s", "a 'b' c's"), ("ਸਤਿ ਨਾਮੁ", "ਸਤ ਨਾਮੁ x"), ("naïve, (text)", "naive text!"), (None, "x"), ("éa", "éa"), (" ".join(f"w{i}" for i in range(9000)), " ".join(f"w{i}" for i in range(1, 9001)))]
+    rows = spark.createDataFrame([("e", str(k), a, b) for k, (a, b) in enumerate(pairs)], "engine string, kind string, ref string, hyp string")
+    got = {r.kind: (r.edits, r.chars, r.word_edits, r.words) for r in evaluate.error_rates(rows).where("kind is not null").collect()}
+    assert [got[str(k)][0] for k in range(5)] == [2, 3, 4, 1, 1] and [got[str(k)][2:] for k in range(6)] == [(0, 3), (2, 2), (1, 2), (1, 0), (1, 1), (2, 9000)]
+    assert [got[str(k)][1] for k in range(5)] == [9, 5, 13, 0, 2]
