@@ -5,7 +5,8 @@ import time
 
 import pytest
 
-from leafmark.operators import alignment, citations, evaluate, fusion, pdf_lines
+from leafmark.operators import alignment, citations, evaluate, fusion, lexicon, pdf_lines
+from leafmark.plans import text_queries
 from leafmark.sources import engines
 
 
@@ -159,3 +160,27 @@ def test_error_rates_of_plain_and_other_scripts(spark):
     got = {r.kind: (r.edits, r.chars, r.word_edits, r.words) for r in evaluate.error_rates(rows).where("kind is not null").collect()}
     assert [got[str(k)][0] for k in range(5)] == [2, 3, 4, 1, 1] and [got[str(k)][2:] for k in range(6)] == [(0, 3), (2, 2), (1, 2), (1, 0), (1, 1), (2, 9000)]
     assert [got[str(k)][1] for k in range(5)] == [9, 5, 13, 0, 2]
+
+
+def test_corrections_price_only_words_one_apart(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abceo") for _ in range(draw.randint(1, 6)))
+    asked, known, prices = sorted({word() for _ in range(120)}), sorted({word() for _ in range(120)}), {"c>e": 0.3, "e>o": 0.4, "rn>m": 0.2}
+    confused = {"c": "ce", "e": "eco", "o": "oe"}
+    want = {}
+    for w in asked:
+        costs = sorted((c, k) for k in known if k[0] in confused.get(w[0], w[0]) and abs(len(k) - len(w)) <= 1 and (c := lexicon.weighted_distance(list(w), list(k), prices, 1.5)) <= 1.5)
+        if costs:
+            best = costs[0]
+            want[w] = (best[1], "too far" if best[0] > 1 else "ambiguous" if len(costs) > 1 and costs[1][0] - best[0] < 0.5 else "corrected")
+    frames = [spark.createDataFrame([(w,) for w in ws], "word string") for ws in (asked, known)]
+    assert {r.word: (r.best, r.verdict) for r in lexicon.corrections(*frames, prices).collect()} == want
+    few = lexicon._one_apart(frames[0].selectExpr("word", "array(left(word, 1)) AS firsts", "length(word) AS n"), frames[1], prices).count()
+    assert few * 2 < sum(w[0] == k[0] and abs(len(w) - len(k)) <= 1 for w in asked for k in known)
+    assert lexicon.corrections(*frames, prices, limit=2.0).count() >= len(want)  # two edits: by first character and length
+
+
+def test_texts_without_a_sentence_have_no_first_and_no_last(spark, tmp_path):
+    spark.createDataFrame([(1, ""), (2, " \n "), (3, None), (4, "One. Two!")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n, r.first, r.last) for r in text_queries.sentence_split(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, None, None), 2: (0, None, None), 3: (None, None, None), 4: (2, "One.", "Two!")}
