@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
 import pyarrow as pa
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from .alignment import distance
+from .words import cut, normalised, wide
 
 
 def error_rates(rows: DataFrame) -> DataFrame:
@@ -21,9 +21,6 @@ def error_rates(rows: DataFrame) -> DataFrame:
     return one.groupingSets([["engine"], ["engine", "kind"]], "engine", "kind").agg(*sums)
 
 
-_SPACES, _MARKS = re.compile("[ \\t\\n\\x0b\\f\\r]+"), str.maketrans({**{c: None for c in X.DROPPED}, **dict(zip(X.QUOTES_FROM, X.QUOTES_TO, strict=True))})
-
-
 def _compared(ref: Column, hyp: Column) -> Column:
     """struct(edits, chars, word_edits, words) of two texts, in clusters and words of their normalised forms.
 
@@ -34,8 +31,8 @@ def _compared(ref: Column, hyp: Column) -> Column:
     def run(refs: pa.Array, hyps: pa.Array, ref_norms: pa.Array, hyp_norms: pa.Array, ref_parts: pa.Array, hyp_parts: pa.Array) -> pa.Array:
         def side(text, norm, parts):
             if norm is None:
-                norm = parts = _SPACES.sub(" ", (text or "").translate(_MARKS)).strip(" ")
-            return parts, [w for x in norm.split(" ") if (w := x.strip(X.PUNCTUATION))]
+                norm = parts = normalised(text)
+            return parts, cut(norm)
 
         out = []
         for a, b, *rest in zip(*(c.to_pylist() for c in (refs, hyps, ref_norms, hyp_norms, ref_parts, hyp_parts)), strict=True):
@@ -45,9 +42,8 @@ def _compared(ref: Column, hyp: Column) -> Column:
             out.append((0, len(r), 0, len(rw)) if r == h else (distance(r, h), len(r), 0 if rw == hw else distance(rw, hw), len(rw)))
         return pa.StructArray.from_arrays([pa.array([x[k] for x in out], pa.int32()) for k in range(4)], ["edits", "chars", "word_edits", "words"])
 
-    wide = [F.coalesce(c.rlike(r"[^\x00-\u02FF]"), F.lit(False)) for c in (ref, hyp)]
-    norms = [F.when(w, X.normalise(c)) for w, c in zip(wide, (ref, hyp), strict=True)]
-    return run(ref, hyp, *norms, *[F.when(w, X.graphemes(X.normalise(c))) for w, c in zip(wide, (ref, hyp), strict=True)])
+    norms = [F.when(wide(c), X.normalise(c)) for c in (ref, hyp)]
+    return run(ref, hyp, *norms, *[F.when(wide(c), X.graphemes(X.normalise(c))) for c in (ref, hyp)])
 
 
 def match_quality(rows: DataFrame) -> DataFrame:

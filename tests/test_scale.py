@@ -4,8 +4,10 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from leafmark.operators import alignment, citations, evaluate, fusion, lexicon, pdf_lines
+from leafmark.functions import text as X
+from leafmark.operators import alignment, citations, evaluate, fusion, lexicon, pdf_lines, words
 from leafmark.plans import text_queries
 from leafmark.sources import engines
 
@@ -184,3 +186,13 @@ def test_texts_without_a_sentence_have_no_first_and_no_last(spark, tmp_path):
     spark.createDataFrame([(1, ""), (2, " \n "), (3, None), (4, "One. Two!")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n, r.first, r.last) for r in text_queries.sentence_split(spark, str(tmp_path)).collect()}
     assert got == {1: (0, None, None), 2: (0, None, None), 3: (None, None, None), 4: (2, "One.", "Two!")}
+
+
+def test_words_of_any_script_are_cut_as_the_jvm_cuts_them(spark):
+    texts = [None, "", "  a\tb  ", "(one) “two”, three... ॥", "x´s `q` ­-soft", "ਸਤਿ (ਨਾਮੁ)", "naïve – word", "--- .", "a b c​d", "1999. 'tis"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    assert all(r.a == r.b for r in rows.select(words.words(F.col("text")).alias("a"), X.words(F.col("text")).alias("b")).collect())
+    lines = spark.createDataFrame([(k, [t, u, None]) for k, (t, u) in enumerate([("a b b", "b c"), ("ਸਤਿ x", "ਸਤਿ y"), ("(b) d", "b! d")])], "k int, readings array<string>")
+    got = lexicon.book_vocab(lines, ["k"], 1)
+    assert {(r.word, r.n) for r in got.collect()} == {("b", 2), ("ਸਤਿ", 1), ("d", 1)}
+    assert "hashpartitioning(k#" not in _exchanged(got)
