@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .packing import by_page
+
 V_OVERLAP, H_OVERLAP, ORPHAN, BAR, DEFAULT_CONF = 0.5, 0.3, 0.4, 0.90, 0.8
 AGREEMENT_LOW, CONF_LOW, OOV_WORDS, PAGE_LINES, PAGE_SHARE = 0.85, 0.5, 4, 3, 0.15
 #: Unknown-word shares above which a line is shown to an arbiter, by language.
@@ -46,19 +48,25 @@ def orphans(pivot: DataFrame, other: DataFrame, page: list[str], tallest: float
 
 
 def adopted(orphaned: DataFrame, page: list[str]) -> DataFrame:
-    """The sequential part: in order of y0, an orphan that an adopted one covers is left out.  Grouped by page."""
-    import pandas as pd
-
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        taken: list[tuple[float, float]] = []
-        keep = []
-        for i, r in rows.sort_values(["y0", "x0", "n"]).iterrows():
-            if all(max(0, min(r.y1, b) - max(r.y0, a)) / max(1, min(r.y1 - r.y0, b - a)) < ORPHAN for a, b in taken):
-                taken.append((r.y0, r.y1))
+    """The sequential part: in order of y0, an orphan that an adopted one covers is left out.  Whole pages, many at a time."""
+    names = [c for c in orphaned.columns if c not in page]
+
+    def work(t: pa.Table, bounds: np.ndarray) -> tuple[np.ndarray, list]:
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        y0, y1, x0, n = (t.column(c).to_numpy() for c in ("y0", "y1", "x0", "n"))
+        order = np.lexsort((n, x0, y0, number))
+        keep, at, taken = [], -1, []
+        for i, k, low, high in zip(order.tolist(), number[order].tolist(), y0[order].tolist(), y1[order].tolist(), strict=True):
+            taken = [(a, b) for a, b in taken if b > low] if k == at else []  # those that end above never cover a later one
+            at = k
+            if all(max(0, min(high, b) - max(low, a)) / max(1, min(high - low, b - a)) < ORPHAN for a, b in taken):
+                taken.append((low, high))
                 keep.append(i)
-        return rows.loc[keep]
+        kept = t.take(pa.array(keep, pa.int64()))
+        return number[keep], [kept.column(c).combine_chunks() for c in names]
 
-    return orphaned.groupBy(*page).applyInPandas(pick, orphaned.schema)
+    kind = dict(orphaned.dtypes)
+    return by_page(orphaned, page, work, ", ".join(f"{c} {kind[c]}" for c in names)).select(*orphaned.columns)
 
 
 def auto_weights(accuracy: DataFrame) -> DataFrame:
