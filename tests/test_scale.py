@@ -196,3 +196,28 @@ def test_words_of_any_script_are_cut_as_the_jvm_cuts_them(spark):
     got = lexicon.book_vocab(lines, ["k"], 1)
     assert {(r.word, r.n) for r in got.collect()} == {("b", 2), ("ਸਤਿ", 1), ("d", 1)}
     assert "hashpartitioning(k#" not in _exchanged(got)
+
+
+def test_adopted_orphans_of_many_pages(spark):
+    draw = random.Random(9)
+    rows = [(p, n, 0, (y := draw.randint(0, 200)), 9, y + draw.randint(1, 40), "t") for p in range(30) for n in range(20)]
+    want = set()
+    for p in range(30):
+        taken = []
+        for r in sorted((r for r in rows if r[0] == p), key=lambda r: (r[3], r[2], r[1])):
+            if all(max(0, min(r[5], b) - max(r[3], a)) / max(1, min(r[5] - r[3], b - a)) < 0.4 for a, b in taken):
+                taken.append((r[3], r[5]))
+                want.add(r[:2])
+    got = fusion.adopted(spark.createDataFrame(rows, "page long, n long, x0 int, y0 int, x1 int, y1 int, text string").repartition(6), ["page"])
+    assert {(r.page, r.n) for r in got.collect()} == want and got.columns[:2] == ["page", "n"]
+    assert "FlatMapGroups" not in _exchanged(got)
+
+
+def test_quotations_cut_by_pages_are_joined_though_works_are_dealt_out(spark):
+    body = "and onward the river carries every traveller homeward ||1|| Pause ||"
+    rows = [("w", 1, 1, "plain"), ("w", 1, 2, '"A quotation opens on this page'), ("w", 2, 1, body), ("w", 3, 5, '"Another opens here'), ("w", 3, 6, body), ("w", 4, 1, body), ("v", 4, 1, body)]
+    frame = spark.createDataFrame([(*r, "body") for r in rows], "work string, page long, para_no long, text string, style string")
+    found = citations.detect(frame)
+    assert {(r.work, r.page, r.para_no): (r.opened_page, r.opened_para) for r in found.collect()} == {("w", 2, 1): (1, 2), ("w", 3, 6): (3, 5), ("w", 4, 1): (None, None), ("v", 4, 1): (None, None)}
+    plan = _exchanged(found)
+    assert not [x for x in plan.splitlines() if "lag(" in x and "style" in x and "[work#" in x and "page" not in x]
